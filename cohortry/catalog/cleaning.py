@@ -363,7 +363,7 @@ def derive_arith(spark, sf_dir):
 
 @query("audit_columns", with_(B.EVENTS) + f"""
 SELECT company, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS subscription_date,
-  coalesce(sum(plan), 0)::BIGINT AS plans, count_if(payment_type = 'Card')::BIGINT AS r,
+  coalesce(sum(plan), 0)::BIGINT AS plans, count(*) FILTER (payment_type = 'Card') AS r,
   '2002-01-01 00:00:00' AS ingest_date FROM ev_all GROUP BY 1""")
 def audit_columns(spark, sf_dir):
     rows = _events(spark, sf_dir).groupBy("company").agg(
