@@ -13,6 +13,7 @@ from cohortry.catalog import tables as C
 from cohortry.catalog.bindings import with_
 from cohortry.catalog.registry import query
 from cohortry.functions.quantiles import quantiles
+from cohortry.functions.scale import materialized
 from cohortry.operators import cleaning, evaluate, labels, models, outliers, sampling, stats
 from cohortry.plans import features, propensity
 
@@ -96,7 +97,7 @@ def _training_ctes() -> list[str]:
 
 
 def _rename(sql: str, name: str) -> str:
-    return re.sub(rf"(?<![\w.']){name}(?![\w.'(])", f"t_{name}", sql)
+    return re.sub(rf"(?<![\w.']){name}(?![\w'(])", f"t_{name}", sql)
 
 
 LABEL_ROWS = """
@@ -128,7 +129,9 @@ CHECKED = "num_receivers, trans_sum_sent, med_trans_sent_m, max_import_sent, b2g
 
 def both_tables(spark, sf_dir):
     p = C.prepared(spark, sf_dir)
-    return features.build_tables(p, P.TRAILING), features.build_tables(p, specs.RFM_SNAPSHOTS)
+    trailing, plain = (features.build_tables(p, spec) for spec in (P.TRAILING, specs.RFM_SNAPSHOTS))
+    trailing.behaviour = materialized(trailing.behaviour)
+    return trailing, plain
 
 
 def churn_rows(spark, sf_dir):
@@ -309,8 +312,8 @@ def ratio_split_upsell(spark, sf_dir):
 # -- models --------------------------------------------------------------------------------
 
 def _ready(spark, sf_dir, model: propensity.ModelSpec, rows) -> propensity.Prepared:
-    matrix = propensity.model_matrix(rows(spark, sf_dir), model).persist()
-    return propensity.prepare(matrix, model)
+    matrix = propensity.model_matrix(rows(spark, sf_dir), model)
+    return propensity.prepare(materialized(matrix), model)
 
 
 @query("boosted_classifier")

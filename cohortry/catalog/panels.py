@@ -14,6 +14,7 @@ from cohortry.catalog import tables as C
 from cohortry.catalog.bindings import day_diff, roles, stamp, with_
 from cohortry.catalog.registry import query
 from cohortry.functions import scalars as S
+from cohortry.functions.scale import fresh_folder
 from cohortry.operators import labels, lifecycle, panel, party, running, segment
 from cohortry.plans import features
 from cohortry.plans.segmentation import segment_customers
@@ -235,7 +236,7 @@ def raw_panel(spark, sf_dir, spec):
     p = C.prepared(spark, sf_dir)
     companies = lifecycle.company_master(p.events, p.registry)
     churn = lifecycle.churn_premium(p.events)
-    return panel.feature_panel(p.tx, p.events, p.ids, companies, churn, spec, cohort=p.cohort).drop("snapshot")
+    return panel.feature_panel(p.tx, p.events, p.ids, companies, churn, spec).drop("snapshot")
 
 
 # -- panel ---------------------------------------------------------------------------------
@@ -255,7 +256,7 @@ SELECT company, m AS snapshot, arg_max(plan, {C.EV_ORDER})::BIGINT AS actual_pla
 FROM ev_all JOIN (SELECT DISTINCT p AS m FROM tx) ON p <= m GROUP BY ALL""")
 def asof_lifecycle(spark, sf_dir):
     tx = panel.with_period(C.transactions(spark, sf_dir), specs.RFM_SNAPSHOTS)
-    snapshots = panel.snapshot_list(tx, specs.RFM_SNAPSHOTS)
+    snapshots = panel.snapshot_list(tx)
     return lifecycle.plan_asof(C.events(spark, sf_dir), snapshots)
 
 
@@ -290,7 +291,7 @@ SELECT DISTINCT company, timestamp_ym, days_since_alta_basic, days_since_alta_pr
 def days_since_milestones(spark, sf_dir):
     p = C.prepared(spark, sf_dir)
     tx = panel.with_period(p.tx, specs.RFM_SNAPSHOTS)
-    rows = lifecycle.plan_asof(p.events, panel.snapshot_list(tx, specs.RFM_SNAPSHOTS))
+    rows = lifecycle.plan_asof(p.events, panel.snapshot_list(tx))
     out = panel.days_since_milestones(
         rows, lifecycle.company_master(p.events, p.registry), lifecycle.churn_premium(p.events),
         S.period_end("snapshot"),
@@ -362,7 +363,7 @@ SELECT company, xin_value, timestamp_ym, """ + ", ".join(
 def channel_onehot(spark, sf_dir):
     p = C.prepared(spark, sf_dir)
     tx = panel.with_period(p.tx, specs.RFM_SNAPSHOTS)
-    snapshots = panel.snapshot_list(tx, specs.RFM_SNAPSHOTS)
+    snapshots = panel.snapshot_list(tx)
     rows = panel.spine(p.events, p.ids, snapshots, specs.RFM_SNAPSHOTS)
     channels = panel.window_channels(tx, snapshots, specs.RFM_SNAPSHOTS)
     joined = rows.join(channels, ["xin_value", "snapshot"], "left").withColumn(
@@ -469,7 +470,7 @@ UNION ALL SELECT 'rfm_basic', segment, count(*) FROM shown WHERE plan = 'basic'
 UNION ALL SELECT 'segmentation_model', segment, count(*) FROM shown GROUP BY ALL""")
 def sink_segments(spark, sf_dir):
     """Writes the three segment tables and counts what is read back."""
-    paths = sinks.write_segments(*segments(spark, sf_dir, QUARTERS), C.scratch(spark))
+    paths = sinks.write_segments(*segments(spark, sf_dir, QUARTERS), fresh_folder(spark))
     parts = [
         readers.read_table(spark, path).groupBy(F.lit(name).alias("name"), "segment").agg(F.count("*").alias("n"))
         for name, path in paths.items()

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from cohortry.catalog import bindings as B
 from cohortry.catalog.bindings import day_diff, roles, stamp, with_
 from cohortry.catalog.registry import query
 from cohortry.functions import scalars as S
-from cohortry.functions.scale import use_checkpoint_dir
+from cohortry.functions.scale import fresh_folder
 from cohortry.operators import cleaning, identity, lifecycle, party, segment
 from cohortry.plans import features
 from cohortry.sources import readers, schemas, sinks
@@ -376,12 +374,6 @@ def recency_days(spark, sf_dir):
 
 # -- sinks and prepared tables -----------------------------------------------------------------
 
-def scratch(spark) -> str:
-    """A fresh folder below the shared one."""
-    use_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/tables-{uuid.uuid4().hex}"
-
-
 @query("sink_tables", LIFE + """
 SELECT 'companies' AS name, count(*) AS n, sum(company)::BIGINT AS keys FROM master
 UNION ALL SELECT 'churn', count(*), sum(company)::BIGINT FROM churn
@@ -400,7 +392,7 @@ def sink_tables(spark, sf_dir):
         "behaviour": ev.groupBy("company", "timestamp_ym").agg(F.count("*").alias("n")),
         "party_ids": identity.registry_ids(registry).withColumnRenamed("company_id", "company"),
     }
-    paths = sinks.write_prepared(tables, scratch(spark))
+    paths = sinks.write_prepared(tables, fresh_folder(spark))
     parts = [
         readers.read_table(spark, path).agg(
             F.lit(name).alias("name"), F.count("*").alias("n"), F.sum("company").alias("keys")
@@ -419,5 +411,5 @@ def scan_prepared(spark, sf_dir):
     """The company table written as CSV and read with its explicit schema."""
     companies = lifecycle.company_master(events(spark, sf_dir), newest_registry(spark, sf_dir))
     names = schemas.COMPANIES.names
-    path = sinks.write_table(companies.select(*names), f"{scratch(spark)}/companies", "csv")
+    path = sinks.write_table(companies.select(*names), f"{fresh_folder(spark)}/companies", "csv")
     return readers.read_table(spark, path, schemas.COMPANIES, "csv")

@@ -1,31 +1,42 @@
-"""Helpers for data that does not fit one task: checkpoints and numbering."""
+"""Helpers for data that does not fit one task: stored tables and numbering."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 
-def use_checkpoint_dir(spark: SparkSession) -> None:
-    """Take the shared folder the session names; make one only in local mode."""
+def use_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder the session names; a temporary one only in local mode."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
-        return
+        return sc.getCheckpointDir()
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="cohortry-checkpoint-")
+        folder = tempfile.mkdtemp(prefix="cohortry-")
     sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint."""
-    use_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+def fresh_folder(spark: SparkSession, name: str = "table") -> str:
+    return f"{use_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """Write a table that several later steps read, and read it back.
+
+    It survives lost executors, cuts the lineage, and later steps see real
+    sizes and can prune columns. The files stay in the shared folder.
+    """
+    path = fresh_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def hash_of(*keys: Column | str, seed: int) -> Column:

@@ -133,13 +133,14 @@ def plan_asof(
     filled = per_period.withColumn(
         "actual_plan", F.last("_plan", ignorenulls=True).over(w)
     )
-    return carry_forward(filled.drop("_plan"), ["company"], "period", snapshots)
+    return carry_forward(filled.drop("_plan"), ["company"], "period", snapshots).drop("period")
 
 
 def carry_forward(
     states: DataFrame, keys: list[str], period: str, snapshots: Column
 ) -> DataFrame:
-    """Repeat each state for the snapshots until the key's next state."""
+    """Repeat each state for the snapshots until the key's next state; adds
+    "snapshot", keeps the period the state is from."""
     w = W.partitionBy(*keys).orderBy(period)
     covered = F.filter(
         "_snapshots",
@@ -149,5 +150,5 @@ def carry_forward(
         states.withColumn("_next", F.lead(period).over(w))
         .withColumn("_snapshots", snapshots)
         .withColumn("snapshot", F.explode(covered))
-        .drop(period, "_next", "_snapshots")
+        .drop("_next", "_snapshots")
     )

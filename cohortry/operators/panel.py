@@ -1,8 +1,9 @@
 """The snapshot panel: one row per (company, party id, period).
 
 There is no loop over snapshots. Transactions are reduced once to one row per
-(party, period); windows over several periods and states as of a period are
-derived from that reduced table.
+(party, period), which is stored; windows over several periods and states as
+of a period are derived from that table. Only medians and distinct partners
+look at the transactions again, once each.
 """
 
 from __future__ import annotations
@@ -14,18 +15,19 @@ from pyspark.sql import Window as W
 from cohortry.functions import aggregates as A
 from cohortry.functions import quantiles as Q
 from cohortry.functions import scalars as S
+from cohortry.functions.scale import materialized
 from cohortry.operators import lifecycle, party
 from cohortry.operators.party import KEY, REC, ROLES, SENT
 from cohortry.specs import SnapshotSpec
 
 
-def snapshot_list(tx: DataFrame, spec: SnapshotSpec) -> Column:
+def snapshot_list(rows: DataFrame) -> Column:
     """All periods with a transaction, as one array value.
 
     A scalar subquery: computed once per query, and no larger than the
-    calendar. "period" must be a column of tx.
+    calendar. "period" must be a column of rows.
     """
-    return tx.select("period").distinct().agg(F.sort_array(F.collect_set("period"))).scalar()
+    return rows.select("period").distinct().agg(F.sort_array(F.collect_set("period"))).scalar()
 
 
 def with_period(tx: DataFrame, spec: SnapshotSpec) -> DataFrame:
@@ -71,37 +73,59 @@ def into_windows(rows: DataFrame, snapshots: Column, spec: SnapshotSpec) -> Data
 def trailing_rows(tx: DataFrame, spec: SnapshotSpec) -> DataFrame:
     """Transactions joined to every snapshot whose window covers them."""
     tx = with_period(tx, spec)
-    return into_windows(tx, snapshot_list(tx, spec), spec)
+    return into_windows(tx, snapshot_list(tx), spec)
 
 
-# -- window features --------------------------------------------------------
+# -- one row per (party, period) ------------------------------------------------
 
-def window_features(tx: DataFrame, snapshots: Column, spec: SnapshotSpec) -> DataFrame:
-    """Additive features per (party, snapshot)."""
-    monthly = party.party_rows(tx, "period", *party.ADDITIVE_INPUT).groupBy(KEY, "period").agg(
-        *party.additive()
-    )
-    windows = into_windows(monthly, snapshots, spec)
-    if not spec.trailing:
-        return windows
-    names = [c for c in monthly.columns if c not in (KEY, "period")]
+def rollup(tx: DataFrame, channels: bool = True) -> DataFrame:
+    """Everything that can be said about a party's period from that period's
+    rows alone, in one pass: additive features, last plans and times, modal
+    channels. Windows and states are derived from this much smaller table."""
+    rows = party.party_rows(tx, "period", *party.ADDITIVE_INPUT, "kind", "channel", *party.ORDER)
+    cols = [
+        *party.additive(), *party.last_plans(), *party.last_times(),
+        F.max(party.is_listed()).alias("_listed"),
+        F.max((F.col("role") == SENT) & S.is_sent()).alias("_sender"),
+    ]
+    if channels:
+        # The buffer of mode() is one counter per channel code.
+        cols += [
+            F.mode(F.when(F.col("role") == r, F.col("channel")), deterministic=True).alias(f"channel_{r}")
+            for r in ROLES
+        ]
+    return rows.groupBy(KEY, "period").agg(*cols)
+
+
+ADDITIVE = [
+    "plan_0", "plan_1", "plan_2", "success_true", "success_false", "international_sent",
+    "international_rec", "trans_sum_sent", "trans_sum_received", "import_max_sent",
+    "import_sum_sent", "import_max_rec", "import_sum_rec",
+]
+
+
+def window_features(rolled: DataFrame, snapshots: Column, spec: SnapshotSpec) -> DataFrame:
+    """Additive features of trailing windows, merged from the periods."""
+    windows = into_windows(rolled.select(KEY, "period", *ADDITIVE), snapshots, spec)
     return windows.groupBy(KEY, "snapshot").agg(
-        *[party.MERGE.get(c, F.sum)(c).alias(c) for c in names]
+        *[party.MERGE.get(c, F.sum)(c).alias(c) for c in ADDITIVE]
     )
 
 
-def window_monthly_stats(tx: DataFrame, snapshots: Column, spec: SnapshotSpec) -> DataFrame:
+def window_monthly_stats(rolled: DataFrame, snapshots: Column, spec: SnapshotSpec) -> DataFrame:
     """Median and maximum of the counts of the window's periods."""
-    counts = party.party_rows(tx, "period").groupBy(KEY, "role", "period").agg(
-        F.count("*").alias("n")
+    sides = F.array(
+        F.struct(F.lit(SENT).alias("role"), F.col("trans_sum_sent").alias("n")),
+        F.struct(F.lit(REC).alias("role"), F.col("trans_sum_received").alias("n")),
     )
-    return into_windows(counts, snapshots, spec).groupBy(KEY, "snapshot").agg(
+    counts = rolled.select(KEY, "period", F.explode(sides).alias("_s")).select(KEY, "period", "_s.*")
+    return into_windows(counts.filter("n > 0"), snapshots, spec).groupBy(KEY, "snapshot").agg(
         *party.monthly_stats()
     )
 
 
 def window_channels(tx: DataFrame, snapshots: Column, spec: SnapshotSpec) -> DataFrame:
-    """Modal channels per (party, snapshot)."""
+    """Modal channels per (party, snapshot), from counts per channel."""
     rows = party.party_rows(tx, "period", "channel")
     counts = into_windows(party.channel_counts(rows, [KEY, "period"]), snapshots, spec)
     if spec.trailing:
@@ -109,11 +133,35 @@ def window_channels(tx: DataFrame, snapshots: Column, spec: SnapshotSpec) -> Dat
     return party.modal_channels(counts, [KEY, "snapshot"])
 
 
-def _by_role(medians: DataFrame, names: dict[str, str]) -> DataFrame:
-    return medians.groupBy(KEY, "snapshot").agg(
+# -- medians --------------------------------------------------------------------
+
+LIFETIME = {r: f"med_import_{r}_t" for r in ROLES}
+WINDOW = {r: f"import_med_{r}" for r in ROLES}
+
+
+def amounts(tx: DataFrame) -> DataFrame:
+    return party.party_rows(tx, "period", "import").select(
+        KEY, "role", "period", party.cents().alias("cents")
+    )
+
+
+def hot_parties(rolled: DataFrame, hot_rows: int) -> DataFrame | None:
+    """(party, role) groups over hot_rows rows, or None if there are none.
+    Counted on the rollup, not on the transactions."""
+    counts = rolled.groupBy(KEY).agg(
+        F.sum("trans_sum_sent").alias(SENT), F.sum("trans_sum_received").alias(REC)
+    )
+    named = [F.when(F.col(r) > hot_rows, F.lit(r)) for r in ROLES]
+    hot = counts.select(KEY, F.explode(F.array(*named)).alias("role")).filter("role IS NOT NULL")
+    return None if hot.isEmpty() else hot
+
+
+def _by_role(medians: DataFrame, at: str, names: dict[str, dict[str, str]]) -> DataFrame:
+    return medians.groupBy(KEY, at).agg(
         *[
-            F.max(F.when(F.col("role") == role, F.col("m") / 100)).alias(name)
-            for role, name in names.items()
+            F.max(F.when(F.col("role") == role, F.col(value) / 100)).alias(name)
+            for value, by_role in names.items()
+            for role, name in by_role.items()
         ]
     )
 
@@ -122,24 +170,65 @@ def window_medians(
     values: DataFrame, snapshots: Column, spec: SnapshotSpec, hot: DataFrame | None = None
 ) -> DataFrame:
     """Median amount of each window. `hot` lists (party, role) groups too
-    large for one task."""
+    large for one task; their values are counted into buckets instead."""
     keys = [KEY, "role"]
-    plain = lambda df: into_windows(df, snapshots, spec).groupBy(*keys, "snapshot").agg(
-        F.percentile("cents", F.lit(0.5)).alias("m")
-    )
+
+    def plain(df: DataFrame) -> DataFrame:
+        return into_windows(df, snapshots, spec).groupBy(*keys, "snapshot").agg(
+            F.percentile("cents", F.lit(0.5)).alias("window")
+        )
+
     if hot is None:
         medians = plain(values)
     else:
         medians = plain(values.join(hot, keys, "left_anti")).unionByName(
             Q.narrowed_quantiles(
-                values.join(hot, keys, "left_semi"), keys, "cents", {"m": 0.5},
+                values.join(hot, keys, "left_semi"), keys, "cents", {"window": 0.5},
                 period="period", spread=lambda df: into_windows(df, snapshots, spec),
             )
         )
-    return _by_role(medians, {r: f"import_med_{r}" for r in ROLES})
+    return _by_role(medians, "snapshot", {"window": WINDOW})
+
+
+def period_medians(values: DataFrame, snapshots: Column, hot: DataFrame | None = None) -> DataFrame:
+    """Per active (party, period): median of the period's amounts and of all
+    amounts up to it.
+
+    Both need a party's values together, so they share one shuffle. The
+    growing median is a RANGE frame, evaluated once per period and not once
+    per row.
+    """
+    keys = [KEY, "role"]
+    upto = W.partitionBy(*keys).orderBy("period").rangeBetween(W.unboundedPreceding, 0)
+
+    def plain(df: DataFrame) -> DataFrame:
+        each = df.withColumn("_m", F.percentile("cents", F.lit(0.5)).over(upto))
+        return each.groupBy(*keys, "period").agg(
+            F.first("_m").alias("lifetime"), F.percentile("cents", F.lit(0.5)).alias("window")
+        )
+
+    if hot is None:
+        medians = plain(values)
+    else:
+        large = values.join(hot, keys, "left_semi")
+
+        def onward(df: DataFrame) -> DataFrame:
+            later = F.filter("_snapshots", lambda s: s >= F.col("period"))
+            return (
+                df.withColumn("_snapshots", snapshots)
+                .withColumn("snapshot", F.explode(later))
+                .drop("_snapshots", "period")
+            )
+
+        own = lambda df: df.withColumnRenamed("period", "snapshot")
+        grown = Q.narrowed_quantiles(large, keys, "cents", {"lifetime": 0.5}, "period", onward)
+        single = Q.narrowed_quantiles(large, keys, "cents", {"window": 0.5}, "period", own)
+        found = single.join(grown, [*keys, "snapshot"], "left").withColumnRenamed("snapshot", "period")
+        medians = plain(values.join(hot, keys, "left_anti")).unionByName(found)
+    return _by_role(medians, "period", {"lifetime": LIFETIME, "window": WINDOW})
 
 
-# -- as-of features ---------------------------------------------------------
+# -- states -----------------------------------------------------------------------
 
 def new_partners(tx: DataFrame) -> DataFrame:
     """Partners met for the first time, per (party, period).
@@ -160,87 +249,52 @@ def new_partners(tx: DataFrame) -> DataFrame:
     )
 
 
-def growing_medians(
-    values: DataFrame, snapshots: Column, hot: DataFrame | None = None, spec: SnapshotSpec | None = None
-) -> DataFrame:
-    """Median of all amounts up to each active period of a party.
+def party_features(tx: DataFrame, rolled: DataFrame, snapshots: Column, spec: SnapshotSpec) -> DataFrame:
+    """All features per (party, snapshot), from the party's first transaction on.
 
-    The window's RANGE frame is evaluated once per period, not once per row.
-    Groups listed in `hot` are counted into buckets instead.
+    States (partner counts, last plans and times, lifetime medians) hold until
+    the party's next active period. Features of a period window belong to the
+    snapshot of that period only; trailing windows are joined.
     """
-    keys = [KEY, "role"]
-    w = W.partitionBy(*keys).orderBy("period").rangeBetween(W.unboundedPreceding, 0)
-
-    def plain(df: DataFrame) -> DataFrame:
-        each = df.withColumn("m", F.percentile("cents", F.lit(0.5)).over(w))
-        return each.groupBy(*keys, F.col("period").alias("snapshot")).agg(F.first("m").alias("m"))
-
-    if hot is None:
-        return plain(values)
-
-    def onward(df: DataFrame) -> DataFrame:
-        later = F.filter("_snapshots", lambda s: s >= F.col("period"))
-        return (
-            df.withColumn("_snapshots", snapshots)
-            .withColumn("snapshot", F.explode(later))
-            .drop("_snapshots", "period")
-        )
-
-    large = values.join(hot, keys, "left_semi")
-    found = Q.narrowed_quantiles(large, keys, "cents", {"m": 0.5}, "period", onward)
-    active = large.select(*keys, F.col("period").alias("snapshot")).distinct()
-    return plain(values.join(hot, keys, "left_anti")).unionByName(
-        found.join(active, [*keys, "snapshot"], "left_semi")
-    )
-
-
-def asof_features(
-    tx: DataFrame, snapshots: Column, spec: SnapshotSpec, values: DataFrame | None = None,
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """State of every party as of each snapshot from its first transaction on."""
-    rows = party.party_rows(tx, "period", "company_plan", "state", "kind", *party.ORDER)
-    listed = party.is_listed()
-    if spec.senders_only:
-        listed = listed & (F.col("role") == SENT)
-    active = rows.groupBy(KEY, "period").agg(
-        *party.last_plans(), *party.last_times(), F.max(listed).alias("_listed")
-    )
-    values = amounts(tx) if values is None else values
-    medians = _by_role(
-        growing_medians(values, snapshots, hot, spec), {r: f"med_import_{r}_t" for r in ROLES}
-    ).withColumnRenamed("snapshot", "period")
-    joined = active.join(new_partners(tx), [KEY, "period"], "left").join(
-        medians, [KEY, "period"], "left"
+    values = amounts(tx)
+    hot = hot_parties(rolled, spec.hot_rows)
+    active = rolled.join(new_partners(tx), [KEY, "period"], "left").join(
+        period_medians(values, snapshots, hot), [KEY, "period"], "left"
     )
     w = W.partitionBy(KEY).orderBy("period").rowsBetween(W.unboundedPreceding, 0)
     latest = lambda c: F.last(c, ignorenulls=True).over(w).alias(c)
-    met = lambda c: F.when(F.max("_listed").over(w), F.coalesce(F.sum(c).over(w), F.lit(0)))
-    grown = joined.select(
+    listed = F.max("_sender" if spec.senders_only else "_listed").over(w)
+    met = lambda c: F.when(listed, F.coalesce(F.sum(c).over(w), F.lit(0)))
+    own = [] if spec.trailing else [*ADDITIVE, *WINDOW.values(), "channel_sent", "channel_rec"]
+    states = active.select(
         KEY,
         "period",
         *[latest(c) for c in ("last_trans_plan", "last_trans_plan_rec", "last_sent", "last_rec")],
-        *[latest(f"med_import_{r}_t") for r in ROLES],
+        *[latest(c) for c in LIFETIME.values()],
         met("new_receivers").alias("num_receivers"),
         met("new_senders").alias("num_senders"),
+        *own,
     )
-    return lifecycle.carry_forward(grown, [KEY], "period", snapshots)
-
-
-def amounts(tx: DataFrame) -> DataFrame:
-    return party.party_rows(tx, "period", "import").select(
-        KEY, "role", "period", party.cents().alias("cents")
-    )
-
-
-def hot_parties(values: DataFrame, hot_rows: int) -> DataFrame | None:
-    """(party, role) groups over hot_rows rows, or None without running the
-    narrowing plan when there are none."""
-    hot = Q.hot_groups(values, [KEY, "role"], hot_rows)
-    return None if hot.isEmpty() else hot
+    dense = lifecycle.carry_forward(states, [KEY], "period", snapshots)
+    if spec.trailing:
+        features = dense.drop("period")
+        for block in (
+            window_features(rolled, snapshots, spec), window_medians(values, snapshots, spec, hot),
+            window_channels(tx, snapshots, spec), window_monthly_stats(rolled, snapshots, spec),
+        ):
+            features = features.join(block, [KEY, "snapshot"], "left")
+        return features
+    counted = F.col("snapshot") == F.col("period")
+    if spec.first_after is not None:
+        first = S.year_month_index(F.lit(spec.first_after))
+        if spec.grain == "quarter":
+            first = F.floor(first / 3)
+        counted = counted & ((F.col("snapshot") != F.element_at("_all", 1)) | (F.col("period") > first))
+        dense = dense.withColumn("_all", snapshots)
+    return dense.withColumns({c: F.when(counted, F.col(c)) for c in own}).drop("period", "_all")
 
 
-# -- the panel ----------------------------------------------------------------
+# -- the panel ----------------------------------------------------------------------
 
 def spine(
     events: DataFrame, ids: DataFrame, snapshots: Column, spec: SnapshotSpec,
@@ -249,17 +303,20 @@ def spine(
     """(company, party id, snapshot) with the plan as of the snapshot. A
     company with several party ids has one row for each."""
     plans = lifecycle.plan_asof(events, snapshots, spec.grain, order)
-    owners = ids.select(F.col("company_id").alias("company"), KEY)
-    return plans.join(owners, "company", "left")
+    return with_party_ids(plans, ids)
+
 
+def with_party_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    return rows.join(ids.select(F.col("company_id").alias("company"), KEY), "company", "left")
 
-def days_since_milestones(panel: DataFrame, companies: DataFrame, churn: DataFrame, at: Column) -> DataFrame:
+
+def days_since_milestones(rows: DataFrame, companies: DataFrame, churn: DataFrame, at: Column) -> DataFrame:
     """Days from sign-up, premium and premium end to the snapshot; negative
     before the event, missing if it never happens."""
     starts = companies.select("company", "data_alta_basic", "data_alta_premium")
     ends = churn.select("company", "data_baixa_prem")
     return (
-        panel.join(starts, "company", "left")
+        rows.join(starts, "company", "left")
         .join(ends, "company", "left")
         .withColumn("days_since_alta_basic", S.elapsed_days(at, "data_alta_basic"))
         .withColumn("days_since_alta_premium", S.elapsed_days(at, "data_alta_premium"))
@@ -271,36 +328,22 @@ def days_since_milestones(panel: DataFrame, companies: DataFrame, churn: DataFra
 def feature_panel(
     tx: DataFrame, events: DataFrame, ids: DataFrame, companies: DataFrame, churn: DataFrame,
     spec: SnapshotSpec = SnapshotSpec(), order: tuple[str, ...] = lifecycle.EVENT_ORDER,
-    cohort: DataFrame | None = None,
 ) -> DataFrame:
     """All features of every company at every snapshot from its first event on."""
     tx = with_period(tx, spec)
-    snapshots = snapshot_list(tx, spec)
-    values = amounts(tx)
-    hot = hot_parties(values, spec.hot_rows)
-
-    rows = spine(events, ids, snapshots, spec, order)
-    if cohort is not None:
-        rows = rows.join(cohort.select("company"), "company", "left_semi")
-    blocks = [
-        asof_features(tx, snapshots, spec, values, hot),
-        window_features(tx, snapshots, spec),
-        window_medians(values, snapshots, spec, hot),
-        window_channels(tx, snapshots, spec),
-    ]
-    if spec.trailing:
-        blocks.append(window_monthly_stats(tx, snapshots, spec))
-    features = blocks[0]
-    for block in blocks[1:]:
-        features = features.join(block, [KEY, "snapshot"], "left")
-    joined = rows.join(features, [KEY, "snapshot"], "left")
-
+    rolled = materialized(rollup(tx, channels=not spec.trailing))
+    snapshots = snapshot_list(rolled)
     date = S.period_end("snapshot", spec.grain)
+
+    # Companies are few and narrow: their dates are added before the rows
+    # multiply by party ids and meet the wide features.
+    rows = lifecycle.plan_asof(events, snapshots, spec.grain, order)
+    rows = with_party_ids(days_since_milestones(rows, companies, churn, date), ids)
+    joined = rows.join(party_features(tx, rolled, snapshots, spec), [KEY, "snapshot"], "left")
     joined = joined.select(
         "*", S.period_label("snapshot", spec.grain).alias("timestamp_ym"),
         *party.recency_columns(date),
     ).drop("last_sent", "last_rec")
-    joined = days_since_milestones(joined, companies, churn, date)
     return fill_panel(joined)
 
 

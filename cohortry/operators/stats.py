@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,27 +51,22 @@ def unpivot(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     return df.select(*keys, F.explode(pairs).alias("_p")).select(*keys, "_p.*")
 
 
-def correlation_matrix(df: DataFrame, columns: list[str], pairs_per_scan: int = 136) -> DataFrame:
-    """Pairwise Pearson correlation as rows (i, j, r); rows missing one of the
-    two values are left out of that pair. A constant column has none.
+def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Pairwise Pearson correlation as rows (i, j, r); a constant column has
+    none. Rows with a missing value are left out.
 
-    The result has columns**2 rows whatever the size of the data. Pairs are
-    computed together, up to a number that still compiles to one stage.
+    Spark ML sums the outer products of the rows; what reaches the driver is
+    one number per pair of columns.
     """
-    x = {c: F.col(c).cast("double") for c in columns}
-    pairs = [(a, b) for n, a in enumerate(columns) for b in columns[n:]]
-    parts = []
-    for start in range(0, len(pairs), pairs_per_scan):
-        cells = [
-            F.struct(F.lit(a).alias("i"), F.lit(b).alias("j"), F.corr(x[a], x[b]).alias("r"))
-            for a, b in pairs[start:start + pairs_per_scan]
-        ]
-        parts.append(df.agg(F.array(*cells).alias("_c")).select(F.explode("_c").alias("_c")))
-    half = reduce(DataFrame.union, parts).select("_c.*")
-    half = half.withColumn("r", F.nanvl("r", F.lit(None).cast("double")))
-    both = F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
-    sides = F.when(F.col("i") == F.col("j"), F.slice(both, 1, 1)).otherwise(both)
-    return half.select(F.explode(sides).alias("_s"), "r").select("_s.i", "_s.j", "r")
+    vectors = VectorAssembler(inputCols=columns, outputCol="_v", handleInvalid="skip").transform(
+        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    )
+    r = Correlation.corr(vectors.select("_v"), "_v").first()[0].toArray()
+    cells = [
+        (a, b, None if math.isnan(r[n, m]) else float(r[n, m]))
+        for n, a in enumerate(columns) for m, b in enumerate(columns)
+    ]
+    return df.sparkSession.createDataFrame(cells, "i string, j string, r double")
 
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}

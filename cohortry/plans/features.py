@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortry import specs
 from cohortry.functions import scalars as S
+from cohortry.functions.scale import materialized
 from cohortry.operators import cleaning, identity, lifecycle, panel, running
 from cohortry.sources import readers
 from cohortry.specs import SnapshotSpec
@@ -93,20 +94,25 @@ def prepare_registry(raw: DataFrame, cohort: DataFrame, spec: SnapshotSpec, tie:
 
 
 def prepare(raw: Raw, spec: SnapshotSpec = specs.RFM_SNAPSHOTS, corrections: list = (), tie: str | None = None) -> Prepared:
+    """Clean the inputs. Events, cohort, registry and party ids feed many
+    later steps and are far smaller than the transactions, so they are stored;
+    the transactions stay a plan over the source table."""
     events, cohort = prepare_events(raw.lifecycle, spec, corrections)
+    events = materialized(events)
+    cohort = materialized(cohort)
+    registry = materialized(prepare_registry(raw.registry, cohort, spec, tie))
     tx = prepare_transactions(raw.transactions, cohort, spec)
-    registry = prepare_registry(raw.registry, cohort, spec, tie)
-    ids = identity.resolve_party_ids(tx, registry)
+    ids = materialized(identity.resolve_party_ids(tx, registry))
     return Prepared(tx, registry, events, cohort, ids)
 
 
 def build_tables(prepared: Prepared, spec: SnapshotSpec = specs.RFM_SNAPSHOTS) -> Tables:
-    """Everything the segmentation and the models read. Nothing runs until a
-    table is written or read; write them once and read them back."""
+    """Everything the segmentation and the models read. The tables are plans
+    over stored intermediates: write them once and read them back."""
     companies = lifecycle.company_master(prepared.events, prepared.registry)
     churn = lifecycle.churn_premium(prepared.events)
     features = panel.feature_panel(
-        prepared.tx, prepared.events, prepared.ids, companies, churn, spec, cohort=prepared.cohort
+        prepared.tx, prepared.events, prepared.ids, companies, churn, spec
     )
     return Tables(
         behaviour=running.panel_accumulate(features.drop("snapshot"), spec),
