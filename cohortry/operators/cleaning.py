@@ -110,10 +110,11 @@ def clean_lifecycle(
     )
 
 
-def signup_cohort(events: DataFrame) -> DataFrame:
-    """Companies with an initial basic sign-up (plan still by name)."""
+def signup_cohort(events: DataFrame, basic: str | int = "basic") -> DataFrame:
+    """Companies with an initial sign-up for the basic plan, which `basic`
+    gives by name or by ordinal."""
     return (
-        events.filter((F.col("action") == specs.SIGNUP) & (F.col("plan") == "basic"))
+        events.filter((F.col("action") == specs.SIGNUP) & (F.col("plan") == F.lit(basic)))
         .select("company")
         .distinct()
     )

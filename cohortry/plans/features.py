@@ -53,13 +53,12 @@ class Tables:
         }
 
 
-def prepare_events(raw: DataFrame, spec: SnapshotSpec, corrections: list = ()) -> tuple[DataFrame, DataFrame]:
-    """(events of the cohort with ordinal plans, cohort)."""
+def prepare_events(raw: DataFrame, spec: SnapshotSpec, corrections: list = ()) -> DataFrame:
+    """Events with ordinal plans of companies that signed up for basic."""
     events = cleaning.clean_lifecycle(readers.scan_lifecycle(raw), corrections)
     events = cleaning.in_period(events, start=spec.lifecycle_from)
-    cohort = cleaning.signup_cohort(events)
-    events = cleaning.in_period(cleaning.members(events, cohort, "company"), before=spec.lifecycle_before)
-    return events.withColumn("plan", S.plan_ordinal("plan")), cohort
+    events = cleaning.members(events, cleaning.signup_cohort(events), "company")
+    return events.withColumn("plan", S.plan_ordinal("plan"))
 
 
 def prepare_transactions(raw: DataFrame, cohort: DataFrame, spec: SnapshotSpec) -> DataFrame:
@@ -94,12 +93,12 @@ def prepare_registry(raw: DataFrame, cohort: DataFrame, spec: SnapshotSpec, tie:
 
 
 def prepare(raw: Raw, spec: SnapshotSpec = specs.RFM_SNAPSHOTS, corrections: list = (), tie: str | None = None) -> Prepared:
-    """Clean the inputs. Events, cohort, registry and party ids feed many
+    """Clean the inputs. Events, registry and party ids feed many
     later steps and are far smaller than the transactions, so they are stored;
     the transactions stay a plan over the source table."""
-    events, cohort = prepare_events(raw.lifecycle, spec, corrections)
-    events = materialized(events)
-    cohort = materialized(cohort)
+    events = materialized(prepare_events(raw.lifecycle, spec, corrections))
+    cohort = cleaning.signup_cohort(events, basic=0)
+    events = cleaning.in_period(events, before=spec.lifecycle_before)
     registry = materialized(prepare_registry(raw.registry, cohort, spec, tie))
     tx = prepare_transactions(raw.transactions, cohort, spec)
     ids = materialized(identity.resolve_party_ids(tx, registry))

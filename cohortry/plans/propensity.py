@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry import specs
+from cohortry.functions.scale import materialized
 from cohortry.operators import cleaning, evaluate, models, outliers, sampling, stats
 from cohortry.operators.labels import ROW_KEY
 
@@ -109,7 +110,9 @@ def prepare(matrix: DataFrame, spec: ModelSpec, trees: int = 100) -> Prepared:
 
 def fit_and_score(prepared: Prepared, spec: ModelSpec) -> tuple[DataFrame, DataFrame]:
     """(scores of the test part, feature importances)."""
-    parts = sampling.ratio_split(prepared.train, prepared.everything, [KEY], spec.split)
+    parts = materialized(
+        sampling.ratio_split(prepared.train, prepared.everything, [KEY], spec.split)
+    )
     model = models.fit_boosted(parts.filter("part = 'train'"), prepared.features, spec.trees)
     scored = models.score(model, parts.filter("part = 'test'"), prepared.features, [KEY])
     importance = models.feature_importance(model, prepared.features, prepared.train)
