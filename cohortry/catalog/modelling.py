@@ -14,7 +14,7 @@ from cohortry.catalog.bindings import with_
 from cohortry.catalog.registry import query
 from cohortry.functions.quantiles import quantiles
 from cohortry.functions.scale import materialized
-from cohortry.operators import cleaning, evaluate, labels, models, outliers, sampling, stats
+from cohortry.operators import cleaning, evaluate, labels, models, neighbours, outliers, sampling, stats
 from cohortry.plans import features, propensity
 
 DIMS = [f"e{i}" for i in range(64)]
@@ -309,6 +309,23 @@ def ratio_split_upsell(spark, sf_dir):
     return _split(spark, sf_dir, specs.UPSELL_SPLIT)
 
 
+@query("nearest_neighbours", with_(VECTORS) + """,
+ones AS (SELECT * FROM long WHERE target = 1),
+d AS (SELECT a.vec_id, b.vec_id AS neighbour, sqrt(sum((a.x - b.x) * (a.x - b.x))) AS distance
+  FROM ones a JOIN ones b ON a.dim = b.dim AND a.vec_id <> b.vec_id GROUP BY ALL)
+SELECT vec_id, row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbour) AS nth, neighbour,
+  round(distance, 6) AS distance FROM d
+QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbour) <= 5""")
+def nearest_neighbours(spark, sf_dir):
+    rows = vectors(spark, sf_dir).filter("target = 1")
+    return neighbours.nearest_neighbours(rows, "vec_id", DIMS)
+
+
+@query("smote")
+def smote(spark, sf_dir):
+    return neighbours.smote(vectors(spark, sf_dir).drop("label"), "vec_id", DIMS)
+
+
 # -- models --------------------------------------------------------------------------------
 
 def _ready(spark, sf_dir, model: propensity.ModelSpec, rows) -> propensity.Prepared:

@@ -18,6 +18,9 @@ from pyspark.sql import Window as W
 
 from cohortry.specs import HOT_ROWS
 
+# Up to this many groups (and the few buckets wanted of each) are broadcast.
+FEW_GROUPS = 1000
+
 Spread = Callable[[DataFrame], DataFrame]
 
 
@@ -26,6 +29,16 @@ def hot_groups(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
 
 
+def checked(hot: DataFrame) -> DataFrame | None:
+    """None if there are no hot groups; otherwise the groups, marked for
+    broadcast once counted to be few. With more of them they are joined by a
+    shuffle."""
+    n = hot.limit(FEW_GROUPS + 1).count()
+    if n == 0:
+        return None
+    return F.broadcast(hot) if n <= FEW_GROUPS else hot
+
+
 def quantiles(
     rows: DataFrame, keys: list[str], value: str, probs: dict[str, float],
     hot_rows: int = HOT_ROWS,
@@ -39,8 +52,8 @@ def quantiles(
     plain = lambda df: df.groupBy(*keys).agg(
         *[F.percentile("_v", F.lit(p)).alias(name) for name, p in probs.items()]
     )
-    hot = hot_groups(rows, keys, hot_rows)
-    if hot.isEmpty():
+    hot = checked(hot_groups(rows, keys, hot_rows))
+    if hot is None:
         return plain(rows).drop(*drop)
     cold = plain(rows.join(hot, keys, "left_anti"))
     found = narrowed_quantiles(rows.join(hot, keys, "left_semi"), keys, "_v", probs)
@@ -86,9 +99,11 @@ def narrowed_quantiles(
         .withColumn("_node", F.lit(""))
     )
 
+    few = nodes.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+    sized = F.broadcast if few else (lambda df: df)
     member = rows.withColumn("_node", F.lit(""))
     for _ in range(levels):
-        member = member.join(nodes, [*keys, "_node"])
+        member = member.join(sized(nodes), [*keys, "_node"])
         share = (F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
         bucket = F.when(
             F.col("_hi") > F.col("_lo"), F.least(F.floor(share * buckets), F.lit(buckets - 1))
@@ -109,7 +124,7 @@ def narrowed_quantiles(
         nodes = bounds.join(asked.select(*keys, "_node").distinct(), [*keys, "_node"], "left_semi")
         member = member.withColumn("_node", path).drop("_b")
 
-    member = member.join(nodes.drop("_lo", "_hi"), [*keys, "_node"], "left_semi")
+    member = member.join(sized(nodes.drop("_lo", "_hi")), [*keys, "_node"], "left_semi")
     counts = member.groupBy(*base, "_node", "_v").agg(F.count("*").alias("_n"))
     found = _descend(asked, spread(counts), group, "_v")
 

@@ -24,19 +24,24 @@ def score_counts(scores: DataFrame) -> DataFrame:
     )
 
 
-def roc_points(scores: DataFrame, slices: int = 256) -> DataFrame:
-    """True and false positive rate at every distinct score, highest first.
-
-    The running sums go over all distinct scores. They are cut into slices of
-    about equal size at approximate quantiles; sums run inside a slice and
-    the totals of the slices above are added, so no task sorts all scores.
-    """
-    counts = score_counts(scores)
+def in_slices(counts: DataFrame, slices: int = 256) -> DataFrame:
+    """Distinct scores cut into slices of about equal size ("_slice", rising
+    with the score) at approximate quantiles, however the scores cluster."""
     cuts = sorted(
         set(counts.approxQuantile(SCORE, [i / slices for i in range(1, slices)], 0.5 / slices))
     )
     splits = [-float("inf"), *cuts, float("inf")]
-    sliced = Bucketizer(splits=splits, inputCol=SCORE, outputCol="_slice").transform(counts)
+    return Bucketizer(splits=splits, inputCol=SCORE, outputCol="_slice").transform(counts)
+
+
+def roc_points(scores: DataFrame, slices: int = 256) -> DataFrame:
+    """True and false positive rate at every distinct score, highest first.
+
+    The running sums go over all distinct scores. Sums run inside a slice of
+    them and the totals of the slices above are added, so no task sorts all
+    scores.
+    """
+    sliced = in_slices(score_counts(scores), slices)
     above = W.orderBy(F.desc("_slice")).rowsBetween(W.unboundedPreceding, -1)
     totals = sliced.groupBy("_slice").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     everything = W.partitionBy()

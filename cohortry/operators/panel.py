@@ -153,7 +153,7 @@ def hot_parties(rolled: DataFrame, hot_rows: int) -> DataFrame | None:
     )
     named = [F.when(F.col(r) > hot_rows, F.lit(r)) for r in ROLES]
     hot = counts.select(KEY, F.explode(F.array(*named)).alias("role")).filter("role IS NOT NULL")
-    return None if hot.isEmpty() else hot
+    return Q.checked(hot)
 
 
 def _by_role(medians: DataFrame, at: str, names: dict[str, dict[str, str]]) -> DataFrame:

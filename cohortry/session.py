@@ -19,6 +19,8 @@ def local_session(cores: int | str = 8, app: str = "cohortry") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # One local file is one scan task; a shuffled join spreads its rows.
+        .config("spark.sql.autoBroadcastJoinThreshold", "512k")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

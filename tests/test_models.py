@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortry import specs
 from cohortry.catalog import modelling as M
-from cohortry.operators import evaluate, models, outliers, sampling
+from cohortry.operators import evaluate, models, neighbours, outliers, sampling
 
 TREES = specs.BoostedTrees(n_estimators=3, learning_rate=0.3)
 
@@ -87,3 +87,30 @@ def test_probe_is_reproducible_and_in_range(rows):
     one = sampling.random_probe(rows, ["id"]).toPandas().sort_values("id")
     two = sampling.random_probe(rows.repartition(3), ["id"]).toPandas().sort_values("id")
     assert list(one.random) == list(two.random) and one.random.between(0, 999).all()
+
+
+def brute(points: dict, k: int):
+    for i, a in points.items():
+        near = sorted((np.hypot(a[0] - b[0], a[1] - b[1]), j) for j, b in points.items() if j != i)
+        yield i, [j for _, j in near[:k]]
+
+
+def test_neighbours_are_exact_with_a_third_of_copies(spark):
+    rng = np.random.default_rng(2)
+    points = {i: (1.0, 1.0) if i % 3 == 0 else tuple(map(float, rng.normal(size=2))) for i in range(150)}
+    df = spark.createDataFrame([(i, *p) for i, p in points.items()], "id bigint, x double, y double")
+    got = neighbours.nearest_neighbours(df, "id", ["x", "y"], 4, block=10).toPandas()
+    found = {i: list(g.sort_values("nth").neighbour) for i, g in got.groupby("id")}
+    assert found == dict(brute(points, 4))
+
+
+def test_smote_balances_on_lines_between_neighbours(rows):
+    out = neighbours.smote(rows, "id", ["x", "y"], 3).toPandas()
+    assert (out.target == 0).sum() == (out.target == 1).sum()
+    ones = {r.id: (r.x, r.y) for r in rows.filter("target = 1").collect()}
+    lines = [(np.array(ones[i]), np.array(ones[j])) for i, near in brute(ones, 3) for j in near]
+    for made in out[out.id.isna()][["x", "y"]].to_numpy():
+        off = min(
+            abs(np.linalg.norm(made - a) + np.linalg.norm(made - b) - np.linalg.norm(a - b)) for a, b in lines
+        )
+        assert off < 1e-9
