@@ -11,6 +11,7 @@ and the answer is the exact order statistic.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,14 +30,28 @@ def hot_groups(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
 
 
-def checked(hot: DataFrame) -> DataFrame | None:
-    """None if there are no hot groups; otherwise the groups, marked for
-    broadcast once counted to be few. With more of them they are joined by a
-    shuffle."""
-    n = hot.limit(FEW_GROUPS + 1).count()
-    if n == 0:
-        return None
-    return F.broadcast(hot) if n <= FEW_GROUPS else hot
+@dataclass
+class Hot:
+    """Groups too large for one task. Few of them, by count, are broadcast;
+    more are joined by a shuffle."""
+
+    groups: DataFrame
+    few: bool
+
+    def rest(self, rows: DataFrame, keys: list[str]) -> DataFrame:
+        return rows.join(self._sized(), keys, "left_anti")
+
+    def rows(self, rows: DataFrame, keys: list[str]) -> DataFrame:
+        return rows.join(self._sized(), keys, "left_semi")
+
+    def _sized(self) -> DataFrame:
+        return F.broadcast(self.groups) if self.few else self.groups
+
+
+def checked(groups: DataFrame) -> Hot | None:
+    """Count the hot groups, up to FEW_GROUPS; None if there are none."""
+    n = groups.limit(FEW_GROUPS + 1).count()
+    return Hot(groups, n <= FEW_GROUPS) if n else None
 
 
 def quantiles(
@@ -55,21 +70,22 @@ def quantiles(
     hot = checked(hot_groups(rows, keys, hot_rows))
     if hot is None:
         return plain(rows).drop(*drop)
-    cold = plain(rows.join(hot, keys, "left_anti"))
-    found = narrowed_quantiles(rows.join(hot, keys, "left_semi"), keys, "_v", probs)
+    cold = plain(hot.rest(rows, keys))
+    found = narrowed_quantiles(hot.rows(rows, keys), keys, "_v", probs, few=hot.few)
     return cold.unionByName(found).drop(*drop)
 
 
 def narrowed_quantiles(
     rows: DataFrame, keys: list[str], value: str, probs: dict[str, float],
     period: str | None = None, spread: Spread | None = None,
-    levels: int = 2, buckets: int = 4096,
+    levels: int = 2, buckets: int = 4096, few: bool = False,
 ) -> DataFrame:
     """Quantiles by repeated narrowing of the bucket that holds the rank.
 
     With `period` and `spread`, counts are kept per period and spread() maps
     them to the snapshots they belong to (column "snapshot"), so windows that
-    overlap share one pass over the rows.
+    overlap share one pass over the rows. `few` says the groups were counted
+    and are few enough to broadcast.
     """
     base = [*keys, *([period] if period else [])]
     group = [*keys, *(["snapshot"] if spread else [])]
@@ -99,7 +115,7 @@ def narrowed_quantiles(
         .withColumn("_node", F.lit(""))
     )
 
-    few = nodes.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+    # At most two buckets per group, snapshot and quantile are looked into.
     sized = F.broadcast if few else (lambda df: df)
     member = rows.withColumn("_node", F.lit(""))
     for _ in range(levels):

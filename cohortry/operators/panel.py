@@ -145,7 +145,7 @@ def amounts(tx: DataFrame) -> DataFrame:
     )
 
 
-def hot_parties(rolled: DataFrame, hot_rows: int) -> DataFrame | None:
+def hot_parties(rolled: DataFrame, hot_rows: int) -> Q.Hot | None:
     """(party, role) groups over hot_rows rows, or None if there are none.
     Counted on the rollup, not on the transactions."""
     counts = rolled.groupBy(KEY).agg(
@@ -167,7 +167,7 @@ def _by_role(medians: DataFrame, at: str, names: dict[str, dict[str, str]]) -> D
 
 
 def window_medians(
-    values: DataFrame, snapshots: Column, spec: SnapshotSpec, hot: DataFrame | None = None
+    values: DataFrame, snapshots: Column, spec: SnapshotSpec, hot: Q.Hot | None = None
 ) -> DataFrame:
     """Median amount of each window. `hot` lists (party, role) groups too
     large for one task; their values are counted into buckets instead."""
@@ -181,16 +181,16 @@ def window_medians(
     if hot is None:
         medians = plain(values)
     else:
-        medians = plain(values.join(hot, keys, "left_anti")).unionByName(
+        medians = plain(hot.rest(values, keys)).unionByName(
             Q.narrowed_quantiles(
-                values.join(hot, keys, "left_semi"), keys, "cents", {"window": 0.5},
-                period="period", spread=lambda df: into_windows(df, snapshots, spec),
+                hot.rows(values, keys), keys, "cents", {"window": 0.5}, period="period",
+                spread=lambda df: into_windows(df, snapshots, spec), few=hot.few,
             )
         )
     return _by_role(medians, "snapshot", {"window": WINDOW})
 
 
-def period_medians(values: DataFrame, snapshots: Column, hot: DataFrame | None = None) -> DataFrame:
+def period_medians(values: DataFrame, snapshots: Column, hot: Q.Hot | None = None) -> DataFrame:
     """Per active (party, period): median of the period's amounts and of all
     amounts up to it.
 
@@ -210,7 +210,7 @@ def period_medians(values: DataFrame, snapshots: Column, hot: DataFrame | None =
     if hot is None:
         medians = plain(values)
     else:
-        large = values.join(hot, keys, "left_semi")
+        large = hot.rows(values, keys)
 
         def onward(df: DataFrame) -> DataFrame:
             later = F.filter("_snapshots", lambda s: s >= F.col("period"))
@@ -221,10 +221,10 @@ def period_medians(values: DataFrame, snapshots: Column, hot: DataFrame | None =
             )
 
         own = lambda df: df.withColumnRenamed("period", "snapshot")
-        grown = Q.narrowed_quantiles(large, keys, "cents", {"lifetime": 0.5}, "period", onward)
-        single = Q.narrowed_quantiles(large, keys, "cents", {"window": 0.5}, "period", own)
+        grown = Q.narrowed_quantiles(large, keys, "cents", {"lifetime": 0.5}, "period", onward, few=hot.few)
+        single = Q.narrowed_quantiles(large, keys, "cents", {"window": 0.5}, "period", own, few=hot.few)
         found = single.join(grown, [*keys, "snapshot"], "left").withColumnRenamed("snapshot", "period")
-        medians = plain(values.join(hot, keys, "left_anti")).unionByName(found)
+        medians = plain(hot.rest(values, keys)).unionByName(found)
     return _by_role(medians, "period", {"lifetime": LIFETIME, "window": WINDOW})
 
 
