@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ def tx(spark, *rows):
         r = {**base, "id": n, **row}
         filled.append(tuple(r[k] for k in base))
     df = spark.createDataFrame(
-        [(*r[:9], __import__("decimal").Decimal(str(r[9])), *r[10:]) for r in filled], TX
+        [(*r[:9], Decimal(str(r[9])), *r[10:]) for r in filled], TX
     )
     return readers.scan_transactions(df)
 
