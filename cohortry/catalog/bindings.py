@@ -3,8 +3,6 @@ SQL. Queries and oracles both start from here."""
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

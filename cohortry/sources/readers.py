@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from cohortry import specs
 from cohortry.functions import scalars as S
-from cohortry.sources import schemas
 
 
 def read_table(

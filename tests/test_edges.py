@@ -9,7 +9,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortry import specs
-from cohortry.functions import aggregates as A
 from cohortry.functions import scalars as S
 from cohortry.operators import cleaning, evaluate, identity, labels, lifecycle, panel, party, running
 from cohortry.operators import segment, stats

@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortry import specs
-from cohortry.catalog import modelling as M
 from cohortry.operators import evaluate, models, neighbours, outliers, sampling
 
 TREES = specs.BoostedTrees(n_estimators=3, learning_rate=0.3)
