@@ -6,10 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.functions.scale import materialized
+from cohortry.llm import quality_classifier, quality_rules
 from cohortry.llm.near_duplicates import near_duplicates
 from cohortry.llm.queries import pieces_of
 
 
+def well_classified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose whole text scores at least the cutoff, learnt from labels that aren't held out."""
+    spec = quality_classifier.ClassifierSpec()
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~quality_classifier.held_out(F.col("doc_id")))
+    model = quality_classifier.fit(docs, labels, spec)
+    return docs.where(quality_classifier.score(model, F.col("text")) >= spec.cutoff)
+
+
+def within_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and their group's fences."""
+    return quality_rules.judged(docs, carry=True).where("kept").select("row.*")
+
+
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: the one with the smallest id.
 
@@ -26,6 +40,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_classifier", well_classified),
+    ("quality_rules", within_rules),
     ("near_duplicates", without_near_duplicates),
     ("packing", packed),
 ]
