@@ -37,7 +37,7 @@ class Fence:
 #: Parts of a thousand, but for letters: a hundredth of a letter for each word.
 FENCES = (
     Fence("symbols", "high", 60), Fence("capitals", "high", 300), Fence("exclaimed", "high", 60),
-    Fence("doubled", "high", 300), Fence("repeated", "high", 200),
+    Fence("doubled", "high", 500), Fence("repeated", "high", 300),
     Fence("letters", "high", 400), Fence("letters", "low", 250),
 )
 MEASURES = ("symbols", "capitals", "exclaimed", "doubled", "repeated", "letters")

@@ -68,7 +68,7 @@ def copies():
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("spec", [PRODUCTION, NearSpec(rounds=1), NearSpec(spare=0)])
+@pytest.mark.parametrize("spec", [PRODUCTION, NearSpec(rounds=1), NearSpec(spare=0, rounds=3)])
 def test_equals_brute_force_on_copies(spark, copies, spec):
     docs = spark.createDataFrame(copies, "doc_id bigint, text string")
     assert found(near_duplicates(docs, spec)) == brute(copies)
