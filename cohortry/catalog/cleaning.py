@@ -235,7 +235,7 @@ def cohort_semi(spark, sf_dir):
 SELECT {TX_COLUMNS} FROM tx WHERE ym >= '199607' AND ym < '199803'""")
 def period_filter(spark, sf_dir):
     tx = readers.scan_transactions(B.transactions(spark, sf_dir))
-    return _tx_columns(cleaning.in_period(tx, start="199607", before="199803"))
+    return _tx_columns(cleaning.in_period(tx, start="199607", before="199803", at="timestamp"))
 
 
 @query("year_month", """
@@ -427,6 +427,29 @@ def range_filter_pair(spark, sf_dir):
     return stats.strictly_between(both, "l_extendedprice", 1000, 50000)
 
 
-@query("clean_lifecycle", with_(B.EVENTS) + f"SELECT {EVENT_COLUMNS} FROM ev_all")
+# Events as logged, with the values that cleaning is about: switch actions, left and test companies, repeated rows.
+LOGGED = f"""
+logged AS (
+  SELECT * REPLACE (
+    CASE WHEN event_id % 13 = 0 THEN 'autorenovacio on' WHEN event_id % 17 = 0 THEN 'autorenovacio off' ELSE action END AS action,
+    CASE WHEN event_id % 19 = 0 THEN 'aplicateca2' WHEN event_id % 11 = 0 THEN 'enterprise' ELSE plan_name END AS plan_name,
+    CASE WHEN company % 23 = 0 THEN '{specs.TEST_COMPANY_NAMES[0]}' ELSE company_name END AS company_name) FROM ev_all),
+left_for AS (
+  SELECT company FROM (SELECT company, arg_max(plan_name, (ts, ts, event_id)) FILTER (plan_name IS NOT NULL) AS last_plan
+    FROM logged WHERE action IS NULL OR action NOT LIKE 'autorenovacio%' GROUP BY 1)
+  WHERE last_plan IN ('enterprise', 'aplicateca2', 'aplicateca5'))"""
+
+
+@query("clean_lifecycle", with_(B.EVENTS, LOGGED) + f"""
+SELECT {EVENT_COLUMNS} FROM logged
+WHERE (action IS NULL OR action NOT LIKE 'autorenovacio%') AND company NOT IN (SELECT company FROM left_for)
+  AND company_name <> '{specs.TEST_COMPANY_NAMES[0]}' AND (plan_name IS NULL OR plan_name NOT IN ('aplicateca2', 'aplicateca5'))""")
 def clean_lifecycle(spark, sf_dir):
-    return _event_columns(cleaning.clean_lifecycle(_events(spark, sf_dir)))
+    rows, event = _events(spark, sf_dir), F.col("event_id")
+    logged = rows.withColumns({
+        "action": F.when(event % 13 == 0, "autorenovacio on").when(event % 17 == 0, "autorenovacio off").otherwise(F.col("action")),
+        "plan": F.when(event % 19 == 0, "aplicateca2").when(event % 11 == 0, "enterprise").otherwise(F.col("plan")),
+        "company_name": F.when(F.col("company") % 23 == 0, specs.TEST_COMPANY_NAMES[0]).otherwise(F.col("company_name")),
+    })
+    repeated = logged.unionByName(logged.filter(event % 5 == 0))
+    return _event_columns(cleaning.clean_lifecycle(repeated))

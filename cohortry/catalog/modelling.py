@@ -82,18 +82,26 @@ scored AS (SELECT *, (probability >= 0.5)::BIGINT AS predicted FROM scores)"""
 
 # -- labelled sets --------------------------------------------------------------------
 
+# Parts of the panel that don't depend on the window, and so serve both products.
+_BOTH = ("months", "plans", "spine", "hist")
+# Medians of all earlier amounts, which no compared column needs.
+_UNUSED = re.compile(r"median\(cents\) FILTER \(role = '\w+'\) / 100 AS")
+
+
 def _training_ctes() -> list[str]:
     """Both panels in one statement: the trailing one under its own names."""
     plain = [*P.panel_ctes(), P.accumulated_cte()]
     trailing = [*P.panel_ctes(trailing=True), P.accumulated_cte(trailing=True)]
     shared = len([*P.panel_ctes()]) - 2
     renamed = []
-    for part in trailing[shared:]:
-        for name in ("months", "plans", "spine", "win", "chcount", "chan", "hist", "monthly", "mstats",
-                     "panel", "flagged", "behaviour"):
-            part = _rename(part, name)
-        renamed.append(part)
-    return plain + renamed
+    for whole in trailing[shared:]:
+        for part in re.split(r",\n(?=\w+ AS \()", whole.strip()):
+            if part.split(" AS (")[0] in _BOTH:
+                continue
+            for name in ("win", "chcount", "chan", "monthly", "mstats", "panel", "flagged", "behaviour"):
+                part = _rename(part, name)
+            renamed.append("\n" + part)
+    return [_UNUSED.sub("NULL::DOUBLE AS", part) for part in plain + renamed]
 
 
 def _rename(sql: str, name: str) -> str:
@@ -183,7 +191,7 @@ def standardize(spark, sf_dir):
 
 
 @query("random_probe", """
-SELECT o_orderkey, ('0x' || substr(md5(o_orderkey || '|1'), 1, 8))::BIGINT % 1000 AS random FROM orders""")
+SELECT o_orderkey, ('0x' || substr(md5(o_orderkey || '|1'), 1, 15))::BIGINT % 1000 AS random FROM orders""")
 def random_probe(spark, sf_dir):
     return sampling.random_probe(B.table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"])
 
@@ -268,7 +276,7 @@ def _hash(seed: int) -> str:
 @query("upsample_minority", with_(ORDERS) + f""",
 n AS (SELECT count(*) FILTER (target = 0) AS zeros, count(*) FILTER (target = 1) AS ones FROM ord),
 ranked AS (SELECT *, row_number() OVER (ORDER BY {_hash(123)}, o_orderkey) AS k FROM ord WHERE target = 1),
-draws AS (SELECT ('0x' || substr(md5(id || '|123'), 1, 8))::BIGINT % ones + 1 AS k
+draws AS (SELECT ('0x' || substr(md5(id || '|123'), 1, 15))::BIGINT % ones + 1 AS k
   FROM (SELECT unnest(range(zeros)) AS id, ones FROM n))
 SELECT o_orderkey, o_totalprice, target FROM ord WHERE target = 0
 UNION ALL SELECT o_orderkey, o_totalprice, target FROM draws JOIN ranked USING (k)""")
@@ -365,9 +373,56 @@ def kfold_auc(spark, sf_dir):
     return models.kfold_auc(vectors(spark, sf_dir), DIMS, ["vec_id"], FEW_TREES)
 
 
-@query("full_coverage_scoring")
+@query("full_coverage_scoring", """
+SELECT vec_id, ('0x' || substr(md5(vec_id || '|1'), 1, 15))::BIGINT % 4 AS fold, (label = 0)::BIGINT AS target, true AS scored
+FROM embeddings""")
 def full_coverage_scoring(spark, sf_dir):
-    return models.out_of_fold_scores(vectors(spark, sf_dir), DIMS, ["vec_id"], FEW_TREES)
+    """Each row once, with the fold whose model hasn't seen it; that it has a probability stands for the score."""
+    scores = models.out_of_fold_scores(vectors(spark, sf_dir), DIMS, ["vec_id"], FEW_TREES)
+    return scores.select("vec_id", "fold", "target", F.col("probability").between(0, 1).alias("scored"))
+
+
+FOLDED = with_(SCORES) + """,
+folded AS (SELECT *, ('0x' || substr(md5(doc_id || '|1'), 1, 15))::BIGINT % 5 AS fold FROM scores),
+ranked AS (SELECT fold, target, rank() OVER w + (count(*) OVER (PARTITION BY fold, probability) - 1) / 2.0 AS r
+  FROM folded WINDOW w AS (PARTITION BY fold ORDER BY probability)),
+aucs AS (SELECT fold, (sum(r) FILTER (target = 1) - count(*) FILTER (target = 1) * (count(*) FILTER (target = 1) + 1) / 2.0)
+    / nullif(count(*) FILTER (target = 1) * count(*) FILTER (target = 0), 0) AS auc FROM ranked GROUP BY fold)
+"""
+
+
+@query("fold_auc_summary", FOLDED + """
+SELECT round(avg(auc), 6) AS mean, round(stddev_pop(auc), 6) AS std, round(min(auc), 6) AS min, round(max(auc), 6) AS max,
+  count(auc) AS folds FROM aucs""")
+def fold_auc_summary(spark, sf_dir):
+    """The summary of a cross-validation, on given scores."""
+    scores = document_scores(spark, sf_dir).withColumn("fold", sampling.fold_of(["doc_id"], 5, 1))
+    return models.summarize_folds(scores)
+
+
+@query("rank_given_importance", with_(VECTORS) + """
+SELECT 'e' || dim AS feature, round(avg(x), 6) + 0.0 AS coefficient,
+  CASE WHEN avg(x) < 0 THEN 'negative' ELSE 'positive' END AS sign FROM long GROUP BY dim""")
+def rank_given_importance(spark, sf_dir):
+    """Ranking of weights that are given: the columns' means."""
+    long = stats.unpivot(vectors(spark, sf_dir), [], DIMS)
+    return evaluate.rank_importance(long.groupBy("feature").agg(F.avg("value").alias("coefficient")))
+
+
+@query("correlation_with_missing", """
+WITH lines AS (SELECT CASE WHEN l_linenumber % 3 > 0 THEN l_quantity END AS a, l_extendedprice AS b,
+  CASE WHEN l_orderkey % 4 > 0 THEN l_discount END AS c FROM lineitem),
+cells AS (SELECT corr(a, b) AS ab, corr(a, c) AS ac, corr(b, c) AS bc FROM lines)
+SELECT i, j, round(r, 6) + 0.0 AS r FROM (
+  SELECT unnest(['a','a','a','b','b','b','c','c','c']) AS i, unnest(['a','b','c','a','b','c','a','b','c']) AS j,
+    unnest([1.0, ab, ac, ab, 1.0, bc, ac, bc, 1.0]) AS r FROM cells)""")
+def correlation_with_missing(spark, sf_dir):
+    """Each pair over the rows that have both values."""
+    rows = B.table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") % 3 > 0, F.col("l_quantity")).alias("a"), F.col("l_extendedprice").alias("b"),
+        F.when(F.col("l_orderkey") % 4 > 0, F.col("l_discount")).alias("c"),
+    )
+    return stats.correlation_matrix(rows, ["a", "b", "c"])
 
 
 @query("param_sweep")
@@ -375,7 +430,7 @@ def param_sweep(spark, sf_dir):
     parts = sampling.ratio_split(vectors(spark, sf_dir), vectors(spark, sf_dir), ["vec_id"])
     return models.param_sweep(
         parts.filter("part = 'train'"), parts.filter("part = 'test'"), DIMS, FEW_TREES,
-        "learning_rate", [0.05, 0.1, 0.2],
+        "learning_rate", [0.01, 0.05, 0.1, 0.2, 0.3],
     )
 
 
@@ -392,7 +447,8 @@ def rank_importance(spark, sf_dir):
     return evaluate.rank_importance(models.feature_importance(model, DIMS, rows))
 
 
-@query("positional_merge")
+@query("positional_merge", with_(VECTORS) + """
+SELECT dim AS position, round(avg(x), 6) + 0.0 AS left_value, 'e' || dim AS right_value FROM long GROUP BY dim""")
 def positional_merge(spark, sf_dir):
     """Column names and column means of the vectors, paired by position."""
     rows = vectors(spark, sf_dir)

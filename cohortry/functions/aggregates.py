@@ -51,15 +51,3 @@ def newest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
         .agg(F.max_by(F.struct(*rest), ordering(*order)).alias("_row"))
         .select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
     )
-
-
-def modal_value(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """Most frequent non-missing value per key, smallest on ties.
-
-    Counts per (key, value) first, so a key with very many rows is reduced to
-    its distinct values before they meet in one task.
-    """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    return counts.groupBy(*keys).agg(
-        F.min_by(value, F.struct(-F.col("_n"), F.col(value))).alias(out)
-    )

@@ -3,9 +3,11 @@
 percentile() keeps every distinct value of a group in one task. That is the
 right plan for ordinary groups, and what is used for them. A group with more
 than `hot_rows` rows is instead narrowed down: its value range is cut into
-buckets, rows are counted per bucket, and only the bucket holding the wanted
-rank is looked at again. No task ever holds more of a group than its buckets,
-and the answer is the exact order statistic.
+buckets whose width grows with the distance from the smallest value, rows are
+counted per bucket, and only the bucket holding the wanted rank is looked at
+again, until no such bucket has more than `hot_rows` rows of different values.
+Every level is stored, so each reads what the one before has left. The answer
+is the exact order statistic.
 """
 
 from __future__ import annotations
@@ -17,8 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from cohortry.functions.scale import materialized
 from cohortry.specs import HOT_ROWS
 
+# Octaves between the smallest step of a bucket range and its whole width.
+OCTAVES = 40
+
 # Up to this many groups (and the few buckets wanted of each) are broadcast.
 FEW_GROUPS = 1000
 
@@ -71,30 +77,32 @@ def quantiles(
     if hot is None:
         return plain(rows).drop(*drop)
     cold = plain(hot.rest(rows, keys))
-    found = narrowed_quantiles(hot.rows(rows, keys), keys, "_v", probs, few=hot.few)
+    found = narrowed_quantiles(hot.rows(rows, keys), keys, "_v", probs, few=hot.few, hot_rows=hot_rows)
     return cold.unionByName(found).drop(*drop)
 
 
 def narrowed_quantiles(
     rows: DataFrame, keys: list[str], value: str, probs: dict[str, float],
     period: str | None = None, spread: Spread | None = None,
-    levels: int = 2, buckets: int = 4096, few: bool = False,
+    buckets: int = 4096, few: bool = False, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Quantiles by repeated narrowing of the bucket that holds the rank.
 
     With `period` and `spread`, counts are kept per period and spread() maps
     them to the snapshots they belong to (column "snapshot"), so windows that
     overlap share one pass over the rows. `few` says the groups were counted
-    and are few enough to broadcast.
+    and are few enough to broadcast. A bucket's smallest and largest value are
+    those of its rows, so every level parts them; 40 octaves fit into one
+    level, so values far outside cost one more level, not one each.
     """
     base = [*keys, *([period] if period else [])]
     group = [*keys, *(["snapshot"] if spread else [])]
     spread = spread or (lambda df: df)
-    rows = rows.select(*base, F.col(value).cast("double").alias("_v"))
+    rows = materialized(rows.select(*base, F.col(value).cast("double").alias("_v")))
 
-    first = rows.groupBy(*base).agg(
+    first = materialized(rows.groupBy(*base).agg(
         F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    )
+    ))
     nodes = (
         first.groupBy(*keys)
         .agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
@@ -118,29 +126,32 @@ def narrowed_quantiles(
     # At most two buckets per group, snapshot and quantile are looked into.
     sized = F.broadcast if few else (lambda df: df)
     member = rows.withColumn("_node", F.lit(""))
-    for _ in range(levels):
-        member = member.join(sized(nodes), [*keys, "_node"])
+    while True:
         share = (F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+        octave = F.log2(F.lit(1.0) + share * F.lit(float(1 << OCTAVES))) / F.log2(F.lit(1.0 + (1 << OCTAVES)))
         bucket = F.when(
-            F.col("_hi") > F.col("_lo"), F.least(F.floor(share * buckets), F.lit(buckets - 1))
+            F.col("_hi") > F.col("_lo"),
+            F.when(F.col("_v") >= F.col("_hi"), F.lit(buckets))
+            .otherwise(F.least(F.floor(octave * buckets), F.lit(buckets - 1))),
         ).otherwise(F.lit(0)).cast("int")
-        member = member.withColumn("_b", bucket).drop("_lo", "_hi")
-        counts = member.groupBy(*base, "_node", "_b").agg(
+        member = member.join(sized(nodes), [*keys, "_node"]).withColumn("_b", bucket).drop("_lo", "_hi")
+        counts = materialized(member.groupBy(*base, "_node", "_b").agg(
             F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-        )
-        asked = _descend(asked, spread(counts.select(*base, "_node", "_b", "_n")), group, "_b")
+        ))
         path = F.concat_ws(".", "_node", "_b")
-        asked = asked.withColumn("_node", path).drop("_b")
-        bounds = (
-            counts.groupBy(*keys, "_node", "_b")
-            .agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
-            .withColumn("_node", path)
-            .drop("_b")
-        )
-        nodes = bounds.join(asked.select(*keys, "_node").distinct(), [*keys, "_node"], "left_semi")
-        member = member.withColumn("_node", path).drop("_b")
+        asked = _descend(asked, spread(counts.select(*base, "_node", "_b", "_n")), group, "_b")
+        asked = materialized(asked.withColumn("_node", path).drop("_b"))
+        bounds = counts.groupBy(*keys, "_node", "_b").agg(
+            F.sum("_n").alias("_n"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")
+        ).withColumn("_node", path).drop("_b")
+        nodes = materialized(bounds.join(asked.select(*keys, "_node").distinct(), [*keys, "_node"], "left_semi"))
+        largest = nodes.filter(F.col("_hi") > F.col("_lo")).agg(F.max("_n")).first()[0] or 0
+        nodes = nodes.drop("_n")
+        kept = member.withColumn("_node", path).drop("_b")
+        member = materialized(kept.join(sized(nodes.drop("_lo", "_hi")), [*keys, "_node"], "left_semi"))
+        if largest <= hot_rows:
+            break
 
-    member = member.join(sized(nodes.drop("_lo", "_hi")), [*keys, "_node"], "left_semi")
     counts = member.groupBy(*base, "_node", "_v").agg(F.count("*").alias("_n"))
     found = _descend(asked, spread(counts), group, "_v")
 

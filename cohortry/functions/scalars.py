@@ -97,7 +97,9 @@ def plan_ordinal(plan: Column | str) -> Column:
     chain = F.when(plan.isNull(), F.lit(-1))
     for name, ordinal in specs.PLAN_ORDINALS.items():
         chain = chain.when(plan == name, F.lit(ordinal))
-    return chain.otherwise(plan.try_cast("int")).cast("int")
+    ordinals = [str(n) for n in (-1, *specs.PLAN_ORDINALS.values())]
+    unknown = F.raise_error(F.concat(F.lit("unknown plan name: "), plan.cast("string"))).cast("int")
+    return chain.when(plan.cast("string").isin(*ordinals), plan.try_cast("int")).otherwise(unknown).cast("int")
 
 
 def channel_group(channel: Column | str, groups: dict | None = None) -> Column:

@@ -24,15 +24,27 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{use_checkpoint_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
 def fresh_folder(spark: SparkSession, name: str = "table") -> str:
-    return f"{use_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cleanup(spark: SparkSession) -> bool:
+    """Delete this application's intermediate tables; plans over them end to work."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialized(df: DataFrame) -> DataFrame:
     """Write a table that several later steps read, and read it back.
 
     It survives lost executors, cuts the lineage, and later steps see real
-    sizes and can prune columns. The files stay in the shared folder.
+    sizes and can prune columns. The files stay until cleanup().
     """
     path = fresh_folder(df.sparkSession)
     df.write.parquet(path)
@@ -46,13 +58,13 @@ def hash_of(*keys: Column | str, seed: int) -> Column:
 
 
 def hash_number(*keys: Column | str, seed: int) -> Column:
-    """hash_of as an integer below 2**32."""
-    return F.conv(F.substring(hash_of(*keys, seed=seed), 1, 8), 16, 10).cast("bigint")
+    """hash_of as an integer below 2**60, far above any number of rows."""
+    return F.conv(F.substring(hash_of(*keys, seed=seed), 1, 15), 16, 10).cast("bigint")
 
 
 def hash_unit(*keys: Column | str, seed: int) -> Column:
     """hash_of as a number in [0, 1)."""
-    return hash_number(*keys, seed=seed) / F.lit(4294967296.0)
+    return hash_number(*keys, seed=seed) / F.lit(float(1 << 60))
 
 
 def numbered(

@@ -140,14 +140,20 @@ def drop_keys(df: DataFrame, on: str, keys: list) -> DataFrame:
 
 
 def in_period(
-    df: DataFrame, ym: str = "timestamp_ym", start: str | None = None, before: str | None = None
+    df: DataFrame, ym: str = "timestamp_ym", start: str | None = None, before: str | None = None,
+    at: str | None = None,
 ) -> DataFrame:
-    """yyyymm bounds: start inclusive, before exclusive. On a table
-    partitioned by the month these prune partitions."""
-    if start:
-        df = df.filter(F.col(ym) >= start)
-    if before:
-        df = df.filter(F.col(ym) < before)
+    """yyyymm bounds: start inclusive, before exclusive.
+
+    With `at`, the timestamp behind the month, the bounds are also put on it as
+    literals, which reach the scan of a table that isn't partitioned; on a
+    table that stores the month as a partition they prune partitions.
+    """
+    for bound, holds in ((start, lambda c, v: c >= v), (before, lambda c, v: c < v)):
+        if bound:
+            df = df.filter(holds(F.col(ym), F.lit(bound)))
+            if at:
+                df = df.filter(holds(F.col(at), F.lit(f"{bound[:4]}-{bound[4:]}-01").cast("timestamp")))
     return df
 
 

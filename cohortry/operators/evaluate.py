@@ -30,6 +30,8 @@ def in_slices(counts: DataFrame, slices: int = 256) -> DataFrame:
     cuts = sorted(
         set(counts.approxQuantile(SCORE, [i / slices for i in range(1, slices)], 0.5 / slices))
     )
+    if not cuts:
+        return counts.withColumn("_slice", F.lit(0.0))
     splits = [-float("inf"), *cuts, float("inf")]
     return Bucketizer(splits=splits, inputCol=SCORE, outputCol="_slice").transform(counts)
 
@@ -142,9 +144,8 @@ def score_distribution(scored: DataFrame, bins: int = 30) -> DataFrame:
     spans = scored.groupBy(PRED).agg(F.min(SCORE).alias("low"), F.max(SCORE).alias("high"))
     at = F.floor((F.col(SCORE) - F.col("low")) / (F.col("high") - F.col("low")) * bins)
     bin_ = F.when(F.col("high") > F.col("low"), F.least(at, F.lit(bins - 1))).otherwise(F.lit(0))
-    # two lines at most: safe to broadcast
     return (
-        scored.join(F.broadcast(spans), PRED)
+        scored.join(spans, PRED)
         .groupBy(F.col(PRED).alias("predicted_class"), bin_.cast("bigint").alias("bin"), "low", "high")
         .agg(F.count("*").alias("n"))
     )

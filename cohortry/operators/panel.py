@@ -210,7 +210,7 @@ def period_medians(values: DataFrame, snapshots: Column, hot: Q.Hot | None = Non
     if hot is None:
         medians = plain(values)
     else:
-        large = hot.rows(values, keys)
+        large = materialized(hot.rows(values, keys))
 
         def onward(df: DataFrame) -> DataFrame:
             later = F.filter("_snapshots", lambda s: s >= F.col("period"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortry import specs
 from cohortry.functions import scalars as S
+from cohortry.functions.scale import materialized
 from cohortry.operators import cleaning, running
 
 
@@ -153,9 +154,9 @@ def segmentation(
     scored_input: DataFrame, premium_bounds: specs.RfmBounds = specs.PREMIUM_BOUNDS,
     basic_bounds: specs.RfmBounds = specs.BASIC_BOUNDS,
 ) -> tuple[DataFrame, DataFrame]:
-    """(basic, premium) segment tables."""
+    """(basic, premium) segment tables, from the scored companies stored once."""
     done = assign_segments(rfm_scores(scored_input, premium_bounds, basic_bounds))
-    done = done.withColumn("company_id", F.col("company"))
+    done = materialized(done.withColumn("company_id", F.col("company")))
     return finish_basic(done.filter(~is_premium())), finish_premium(done.filter(is_premium()))
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,22 +51,47 @@ def unpivot(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     return df.select(*keys, F.explode(pairs).alias("_p")).select(*keys, "_p.*")
 
 
+def _pair_sums(means: np.ndarray):
+    """Per batch, for each pair of columns over the rows that have both: count,
+    sums, sums of squares and of products, of values less the column's mean."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) - means
+            there = np.isfinite(x).astype(float)
+            x = np.where(there > 0, x, 0.0)
+            total = total + np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
+        if not np.isscalar(total):
+            n, s, q, p = total.reshape(4, -1)
+            yield pa.record_batch({"k": np.arange(len(n), dtype=np.int32), "n": n, "s": s, "q": q, "p": p})
+
+    return run
+
+
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pairwise Pearson correlation as rows (i, j, r); a constant column has
-    none. Rows with a missing value are left out.
+    """Pairwise Pearson correlation as rows (i, j, r): of the rows in which
+    both columns have a value. A constant column has none.
 
-    Spark ML sums the outer products of the rows; what reaches the driver is
-    one number per pair of columns.
+    Tasks sum up their rows; the sums, four for each pair of columns, are
+    added by pair.
     """
-    vectors = VectorAssembler(inputCols=columns, outputCol="_v", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    moments = fit_moments(rows, columns)
+    means = np.array([moments[c][0] or 0.0 for c in columns])
+    sums = rows.mapInArrow(_pair_sums(means), "k int, n double, s double, q double, p double")
+    width = len(columns)
+    total = sums.groupBy("k").agg(*[F.sum(c).alias(c) for c in "nsqp"])
+    names = F.array(*[F.lit(c) for c in columns])
+    left = total.withColumns({"i": F.floor(F.col("k") / width).cast("int"), "j": F.col("k") % width})
+    right = left.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("s").alias("s2"), F.col("q").alias("q2"))
+    spread = (F.col("q") - F.col("s") * F.col("s") / F.col("n")) * (F.col("q2") - F.col("s2") * F.col("s2") / F.col("n"))
+    r = (F.col("p") - F.col("s") * F.col("s2") / F.col("n")) / F.sqrt(spread)
+    tiny = F.lit(1e-18) * F.col("q") * F.col("q2")
+    return left.join(right, ["i", "j"]).select(
+        F.get(names, F.col("i")).alias("i"), F.get(names, F.col("j")).alias("j"),
+        F.when((F.col("n") > 1) & (spread > tiny), r).alias("r"),
     )
-    r = Correlation.corr(vectors.select("_v"), "_v").first()[0].toArray()
-    cells = [
-        (a, b, None if math.isnan(r[n, m]) else float(r[n, m]))
-        for n, a in enumerate(columns) for m, b in enumerate(columns)
-    ]
-    return df.sparkSession.createDataFrame(cells, "i string, j string, r double")
 
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -110,8 +135,7 @@ def boxplot_stats(
     keys = [target, "feature"]
     boxes = quantiles(rows, keys, "value", QUARTILES, hot_rows)
     reach = 1.5 * (F.col("q75") - F.col("q25"))
-    # classes x columns lines, bounded by the schema: safe to broadcast
-    fenced = rows.join(F.broadcast(boxes), keys)
+    fenced = rows.join(boxes, keys)
     inside = (F.col("value") >= F.col("q25") - reach) & (F.col("value") <= F.col("q75") + reach)
     return fenced.groupBy(*keys, *QUARTILES).agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),

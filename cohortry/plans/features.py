@@ -56,7 +56,7 @@ class Tables:
 def prepare_events(raw: DataFrame, spec: SnapshotSpec, corrections: list = ()) -> DataFrame:
     """Events with ordinal plans of companies that signed up for basic."""
     events = cleaning.clean_lifecycle(readers.scan_lifecycle(raw), corrections)
-    events = cleaning.in_period(events, start=spec.lifecycle_from)
+    events = cleaning.in_period(events, start=spec.lifecycle_from, at="@timestamp")
     events = cleaning.members(events, cleaning.signup_cohort(events), "company")
     return events.withColumn("plan", S.plan_ordinal("plan"))
 
@@ -64,7 +64,7 @@ def prepare_events(raw: DataFrame, spec: SnapshotSpec, corrections: list = ()) -
 def prepare_transactions(raw: DataFrame, cohort: DataFrame, spec: SnapshotSpec) -> DataFrame:
     """Transactions recorded by cohort companies, with ordinal plans and
     channel groups; the raw channel is kept as channel_original."""
-    tx = cleaning.in_period(readers.scan_transactions(raw), before=spec.transactions_before)
+    tx = cleaning.in_period(readers.scan_transactions(raw), before=spec.transactions_before, at="timestamp")
     tx = cleaning.exclude_values(
         tx,
         {
@@ -88,7 +88,7 @@ def prepare_registry(raw: DataFrame, cohort: DataFrame, spec: SnapshotSpec, tie:
         readers.scan_registry(raw, extra=[tie] if tie else []), tie
     )
     if spec.registry_before:
-        registry = registry.filter(F.col("date_last_updated") < F.lit(spec.registry_before))
+        registry = registry.filter(F.col("date_last_updated") < F.lit(spec.registry_before).cast("timestamp"))
     return cleaning.members(registry, cohort, "company_id", "company")
 
 

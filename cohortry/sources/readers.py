@@ -45,7 +45,9 @@ def read_jdbc_ranges(
 
 
 def scan_transactions(raw: DataFrame) -> DataFrame:
-    """Transactions with their month."""
+    """Transactions with their month; a stored month, as of a partition, stays."""
+    if "timestamp_ym" in raw.columns:
+        return raw.withColumn("timestamp_ym", F.col("timestamp_ym").cast("string"))
     return raw.withColumn("timestamp_ym", S.year_month("timestamp"))
 
 

@@ -11,16 +11,12 @@ from cohortry.functions import scalars as S
 def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None
 ) -> str:
-    """Write one table. A partitioned table is first spread by its partition
-    column and a hash of the row, so one month is written by several tasks and
-    a task writes few files."""
+    """Write one table. A partitioned table is first gathered by its partition
+    column; adaptive execution cuts a month by its measured size, so a large
+    one is written by many tasks and a small one gives one file."""
     writer = df.write.mode("overwrite")
     if partition_by:
-        writer = (
-            df.repartition(F.col(partition_by), F.pmod(F.xxhash64(*df.columns), F.lit(16)))
-            .write.mode("overwrite")
-            .partitionBy(partition_by)
-        )
+        writer = df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by)
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)

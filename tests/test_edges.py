@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cohortry import specs
 from cohortry.functions import scalars as S
 from cohortry.operators import cleaning, evaluate, identity, labels, lifecycle, panel, party, running
-from cohortry.operators import segment, stats
+from cohortry.operators import models, segment, stats
 from cohortry.sources import readers, schemas, sinks
 
 TX = (
@@ -285,3 +285,33 @@ def test_csv_with_row_numbers_and_partitioned_table(spark, tmp_path):
     back = cleaning.in_period(readers.read_table(spark, path), start="202001", before="202002")
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert back.count() == 1 and "timestamp_ym" in plan.split("PartitionFilters")[1][:80]
+
+
+def test_unknown_plan_names_are_an_error(spark):
+    df = spark.createDataFrame([("basic",), ("2",), (None,)], "p string")
+    assert [r[0] for r in df.select(S.plan_ordinal("p")).collect()] == [0, 2, -1]
+    with pytest.raises(Exception, match="unknown plan name: gold"):
+        spark.createDataFrame([("gold",)], "p string").select(S.plan_ordinal("p")).collect()
+
+
+def test_curve_of_no_scores(spark):
+    none = spark.createDataFrame([], "target int, probability double, fold int")
+    assert evaluate.roc_points(none).count() == 0 and evaluate.roc_auc(none).first().auc is None
+    assert models.fold_auc(none).count() == 0
+    same = spark.createDataFrame([(1, 0.5, 0), (0, 0.5, 0)], "target int, probability double, fold int")
+    assert evaluate.roc_auc(same).first().auc == 0.5 and models.fold_auc(same).first().auc == 0.5
+
+
+def test_correlation_uses_pairs_that_are_complete(spark):
+    rows = [(1.0, 2.0, None), (2.0, 1.0, 1.0), (3.0, 4.0, 2.0), (4.0, 3.0, 9.0), (None, 7.0, 1.0)]
+    got = {(r.i, r.j): r.r for r in stats.correlation_matrix(spark.createDataFrame([(*r, 5.0) for r in rows], "a double, b double, c double, d double"), ["a", "b", "c", "d"]).collect()}
+    assert got["a", "b"] == pytest.approx(0.6) and got["b", "a"] == got["a", "b"] and got["a", "a"] == pytest.approx(1)
+    assert got["a", "d"] is None and got["d", "d"] is None
+
+
+def test_stored_tables_lie_in_the_runs_folder(spark):
+    from cohortry.functions import scale
+
+    stored = scale.materialized(spark.range(3))
+    path = stored.inputFiles()[0]
+    assert spark.sparkContext.applicationId in path

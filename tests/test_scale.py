@@ -48,6 +48,42 @@ def test_quantiles_with_one_value_holding_a_third(spark):
     assert [got.a, got.b, got.c] == pytest.approx(np.quantile(values, [0.1, 0.5, 0.99]))
 
 
+def test_nested_outliers_leave_no_large_bucket(spark, monkeypatch):
+    """Ordinary values beside two that are far out, in the order of both: all narrowed below the bound."""
+    from cohortry.functions import quantiles as Q
+
+    rng = np.random.default_rng(5)
+    values = np.concatenate([rng.random(20_000) * 100, [1e8, 1e15, -1e12]])
+    df = spark.createDataFrame([(1, float(v)) for v in values], "k int, v double")
+    stored, kept = Q.materialized, []
+    monkeypatch.setattr(Q, "materialized", lambda x: kept.append(stored(x)) or kept[-1])
+    got = quantiles(df, ["k"], "v", {"a": 0.25, "b": 0.5, "c": 0.999}, hot_rows=200).first()
+    assert [got.a, got.b, got.c] == pytest.approx(np.quantile(values, [0.25, 0.5, 0.999]), rel=1e-12)
+    last = [x for x in kept if "_v" in x.columns][-1]
+    assert last.groupBy("_node").count().filter("count > 200").isEmpty()
+
+
+def test_narrowing_reads_stored_levels(spark, sf_dir):
+    df = B.table(spark, sf_dir, "lineitem")
+    text = plan(quantiles(df, ["l_returnflag"], "l_extendedprice", {"q": 0.5}, hot_rows=100))
+    assert text.count("FileScan") <= 6
+
+
+def test_period_bounds_reach_the_scan(spark, sf_dir, tmp_path):
+    from cohortry.operators import cleaning
+
+    raw = B.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("timestamp").alias("timestamp"), "o_orderkey")
+    raw.write.parquet(str(tmp_path / "flat"))
+    bounded = cleaning.in_period(readers.scan_transactions(spark.read.parquet(str(tmp_path / "flat"))), start="199607", before="199803", at="timestamp")
+    text = plan(bounded)
+    assert "GreaterThanOrEqual(timestamp,1996-07-01" in text and "LessThan(timestamp,19" in text
+    readers.scan_transactions(raw).write.partitionBy("timestamp_ym").parquet(str(tmp_path / "months"))
+    monthly = readers.scan_transactions(spark.read.parquet(str(tmp_path / "months")))
+    parts = cleaning.in_period(monthly, start="199607", before="199803", at="timestamp")
+    assert parts.count() == bounded.count() > 0
+    assert "PartitionFilters: [isnotnull(timestamp_ym" in plan(parts)
+
+
 def test_numbering_follows_the_hash(spark):
     df = spark.range(500).withColumn("t", F.col("id") % 2)
     got = numbered(df, ["id"], 5, by=["t"], digits=2).toPandas().sort_values(["t", "rank"])
