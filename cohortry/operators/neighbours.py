@@ -15,6 +15,7 @@ from cohortry.functions.scale import hash_number, hash_of, hash_unit, materializ
 from cohortry.operators.sampling import class_sizes
 
 BLOCK = 2048
+ASKED = 32  # rows whose distances to a block are held at once
 MAX_PIVOTS = 1024
 
 
@@ -79,14 +80,16 @@ def nearest_neighbours(
     visits = rows.mapInPandas(to_visits, T.StructType([*point, T.StructField("cell", T.IntegerType())]))
     visits = materialized(visits)
     visitors = {r.cell: r["count"] for r in visits.groupBy("cell").count().collect()}
-    parts = lambda sizes: F.array(
-        *[F.lit(max(1, math.ceil(sizes.get(c, 0) / block))) for c in range(n_pivots)]
+    parts = lambda sizes, c: max(1, math.ceil(sizes.get(c, 0) / block))
+    # One line per pivot again.
+    cuts = df.sparkSession.createDataFrame(
+        [(c, parts(held, c), parts(visitors, c)) for c in range(n_pivots)], "cell int, chunks int, groups int"
     )
-    chunks, groups = F.element_at(parts(held), F.col("cell") + 1), F.element_at(parts(visitors), F.col("cell") + 1)
-    each = lambda count: F.explode(F.sequence(F.lit(0), (count - 1).cast("int")))
-    mine = lambda count: F.pmod(hash_number("id", seed=seed), count).cast("int")
-    asking = visits.withColumn("grp", mine(groups)).withColumn("chunk", each(chunks))
-    holding = placed.select("id", "x", "cell").withColumn("chunk", mine(chunks)).withColumn("grp", each(groups))
+    each = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    mine = lambda count: F.pmod(hash_number("id", seed=seed), F.col(count)).cast("int")
+    asking = visits.join(cuts, "cell").withColumn("grp", mine("groups")).withColumn("chunk", each("chunks"))
+    holding = placed.select("id", "x", "cell").join(cuts, "cell").withColumn("chunk", mine("chunks")).withColumn("grp", each("groups"))
+    asking, holding = asking.drop("chunks", "groups"), holding.drop("chunks", "groups")
 
     found = T.StructType([
         T.StructField("id", id_type), T.StructField("neighbour", id_type), T.StructField("distance", T.DoubleType())
@@ -97,17 +100,20 @@ def nearest_neighbours(
         if not len(asked) or not len(held_):
             return pd.DataFrame({c: [] for c in names})
         a, h = np.array(asked.x.tolist(), dtype=float), np.array(held_.x.tolist(), dtype=float)
-        ids = held_.id.to_numpy()
-        out = []
-        for i, who in enumerate(asked.id.to_numpy()):
-            d = np.sqrt(((h - a[i]) ** 2).sum(axis=1))
-            d[ids == who] = np.inf
+        ids, who = held_.id.to_numpy(), asked.id.to_numpy()
+        wanted, parts_ = min(k, len(h)), []
+        for at in range(0, len(a), ASKED):
+            d = np.sqrt(((a[at:at + ASKED, None, :] - h[None]) ** 2).sum(axis=2))
+            d[who[at:at + ASKED, None] == ids[None]] = np.inf
             # The k-th distance and all ties with it, so that the final choice
             # by (distance, id) does not depend on the blocks.
-            best = np.flatnonzero((d <= np.partition(d, min(k, len(d)) - 1)[min(k, len(d)) - 1]) & np.isfinite(d))
-            best = best[np.lexsort((ids[best], d[best]))][:k]
-            out += [(who, ids[b], d[b]) for b in best]
-        return pd.DataFrame(out, columns=names)
+            row, col = np.nonzero((d <= np.partition(d, wanted - 1, axis=1)[:, wanted - 1:wanted]) & np.isfinite(d))
+            order = np.lexsort((ids[col], d[row, col], row))
+            row, col = row[order], col[order]
+            best = np.arange(len(row)) - np.searchsorted(row, row) < k
+            row, col = row[best], col[best]
+            parts_.append(pd.DataFrame({"id": who[at + row], "neighbour": ids[col], "distance": d[row, col]}))
+        return pd.concat(parts_)
 
     by = ["cell", "chunk", "grp"]
     candidates = asking.groupBy(*by).cogroup(holding.groupBy(*by)).applyInPandas(nearest, found)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry import specs
 from cohortry.functions.scale import materialized
-from cohortry.operators import cleaning, evaluate, models, outliers, sampling, stats
+from cohortry.operators import cleaning, evaluate, models, neighbours, outliers, sampling, stats
 from cohortry.operators.labels import ROW_KEY
 
 # Columns that are no features.
@@ -95,9 +95,10 @@ class Prepared:
     features: list[str]
 
 
-def prepare(matrix: DataFrame, spec: ModelSpec, trees: int = 100) -> Prepared:
-    """Outliers out of the training rows, a noise feature in, both scaled by
-    the training rows' moments."""
+def prepare(matrix: DataFrame, spec: ModelSpec, trees: int = 100, excluded: tuple[str, ...] = ()) -> Prepared:
+    """Rows with an excluded key out, outliers out of the training rows, a
+    noise feature in, both scaled by the training rows' moments."""
+    matrix = cleaning.drop_keys(matrix, KEY, list(excluded))
     columns = feature_columns(matrix)
     isolated_on = [c for c in columns if c != "days_until_premium"]
     cleaned = outliers.isolation_outliers(matrix, [KEY], isolated_on, trees=trees)
@@ -119,6 +120,73 @@ def fit_and_score(prepared: Prepared, spec: ModelSpec) -> tuple[DataFrame, DataF
     return evaluate.threshold_predict(scored), importance
 
 
+@dataclass
+class Evaluation:
+    """What is known about a fitted model; every part is a table."""
+
+    cross_validation: DataFrame
+    accuracy: DataFrame
+    report: DataFrame
+    confusion: DataFrame
+    roc: DataFrame
+    distribution: DataFrame
+    importance: DataFrame
+    false_positives: DataFrame
+
+
+def evaluate_model(
+    prepared: Prepared, spec: ModelSpec, folds: int = 5, oversample: bool = False, cutoff: float = 0.5,
+) -> Evaluation:
+    """Split, fit, and evaluate on the test part; false positives come from
+    scoring all rows out of fold, with their keys.
+
+    With oversample, synthetic rows of class 1 fill the training part; they
+    have no key and are in no score. Scores are stored once, all parts of the
+    evaluation are plans over them.
+    """
+    parts = materialized(
+        sampling.ratio_split(prepared.train, prepared.everything, [KEY], spec.split)
+    )
+    columns = prepared.features
+    real = parts.filter("part = 'train'")
+    train = real.select(KEY, *columns, "target")
+    if oversample:
+        train = materialized(neighbours.smote(train, KEY, columns))
+    model = models.fit_boosted(train, columns, spec.trees)
+    scored = {
+        name: evaluate.threshold_predict(
+            materialized(models.score(model, parts.filter(F.col("part") == name), columns, [KEY])), cutoff
+        )
+        for name in ("train", "test")
+    }
+    right = F.avg((F.col("target") == F.col("predicted")).cast("int")).alias("accuracy")
+    rates = [df.agg(right).select(F.lit(name).alias("part"), "accuracy") for name, df in scored.items()]
+    validation = models.out_of_fold_scores(real, columns, [KEY], spec.trees, folds)
+    everywhere = models.out_of_fold_scores(prepared.everything, columns, [KEY], spec.trees, folds)
+    outcome = evaluate.confusion_partitions(evaluate.threshold_predict(everywhere, cutoff))
+    test = scored["test"]
+    return Evaluation(
+        cross_validation=models.summarize_folds(materialized(validation)),
+        accuracy=rates[0].unionByName(rates[1]),
+        report=evaluate.classification_report(test),
+        confusion=evaluate.confusion_matrix(test),
+        roc=evaluate.roc_points(test),
+        distribution=evaluate.score_distribution(test),
+        importance=evaluate.rank_importance(models.feature_importance(model, columns, prepared.train)),
+        false_positives=outcome.filter("outcome = 'FP'").select(KEY, "probability"),
+    )
+
+
+def search(prepared: Prepared, spec: ModelSpec, grid: dict[str, list], folds: int = 3) -> ModelSpec:
+    """The spec with the parameters that a cross-validated search prefers; names are those of BoostedTrees."""
+    names = {"max_depth": "maxDepth", "n_estimators": "maxIter", "learning_rate": "stepSize", "subsample": "subsamplingRate",
+             "min_rows_per_leaf": "minInstancesPerNode"}
+    found = models.grid_search(prepared.train, prepared.features, spec.trees, {names[k]: v for k, v in grid.items()}, folds)
+    best = found.getEstimatorParamMaps()[max(range(len(found.avgMetrics)), key=found.avgMetrics.__getitem__)]
+    chosen = {p.name: v for p, v in best.items()}
+    return replace(spec, trees=replace(spec.trees, **{k: chosen[v] for k, v in names.items() if v in chosen}))
+
+
 def shortlist(prepared: Prepared, spec: ModelSpec, folds: int = 4, top: int | None = None) -> DataFrame:
     """All rows scored out of fold; those of class 0 by falling probability."""
     scores = models.out_of_fold_scores(

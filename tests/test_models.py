@@ -113,3 +113,29 @@ def test_smote_balances_on_lines_between_neighbours(rows):
             abs(np.linalg.norm(made - a) + np.linalg.norm(made - b) - np.linalg.norm(a - b)) for a, b in lines
         )
         assert off < 1e-9
+
+
+def test_evaluation_holds_together(spark, sf_dir):
+    """All parts of one evaluation come from the same scores; synthetic rows are in none of them."""
+    from dataclasses import replace
+
+    from cohortry import specs
+    from cohortry.catalog.modelling import vectors
+    from cohortry.plans import propensity as P
+
+    columns = [f"e{i}" for i in range(6)]
+    rows = vectors(spark, sf_dir).selectExpr("CAST(vec_id AS STRING) AS company_new", *columns, "target")
+    ready = P.Prepared(rows, rows, columns)
+    few = replace(P.CHURN_MODEL, trees=specs.BoostedTrees(n_estimators=3, learning_rate=0.3))
+    got = P.evaluate_model(ready, few, folds=2, oversample=True)
+    n = {(r.target, r.predicted): r.n for r in got.confusion.collect()}
+    report = {r.label: r for r in got.report.collect()}
+    assert sum(n.values()) == report["accuracy"].support == got.distribution.agg({"n": "sum"}).first()[0]
+    right = sum(v for (a, b), v in n.items() if a == b) / sum(n.values())
+    rates = {r.part: r.accuracy for r in got.accuracy.collect()}
+    assert rates["test"] == pytest.approx(right) == report["accuracy"].precision
+    assert got.cross_validation.first().folds == 2
+    assert got.importance.count() == len(columns) and got.roc.count() > 0
+    keys = {r.company_new for r in rows.filter("target = 0").collect()}
+    assert {r.company_new for r in got.false_positives.collect()} <= keys
+    assert P.search(ready, few, {"max_depth": [1, 2]}, folds=2).trees.max_depth in (1, 2)
