@@ -93,14 +93,14 @@ def prepare_registry(raw: DataFrame, cohort: DataFrame, spec: SnapshotSpec, tie:
 
 
 def prepare(raw: Raw, spec: SnapshotSpec = specs.RFM_SNAPSHOTS, corrections: list = (), tie: str | None = None) -> Prepared:
-    """Clean the inputs. Events, registry and party ids feed many
-    later steps and are far smaller than the transactions, so they are stored;
-    the transactions stay a plan over the source table."""
+    """Clean the inputs and store them. The transactions are stored as the
+    cohort's rows with the few columns that features need, so the raw table is
+    read once, however many windows and blocks are derived."""
     events = materialized(prepare_events(raw.lifecycle, spec, corrections))
     cohort = cleaning.signup_cohort(events, basic=0)
     events = cleaning.in_period(events, before=spec.lifecycle_before)
     registry = materialized(prepare_registry(raw.registry, cohort, spec, tie))
-    tx = prepare_transactions(raw.transactions, cohort, spec)
+    tx = materialized(prepare_transactions(raw.transactions, cohort, spec))
     ids = materialized(identity.resolve_party_ids(tx, registry))
     return Prepared(tx, registry, events, cohort, ids)
 
