@@ -56,7 +56,30 @@ def placed(items: np.ndarray, totals: np.ndarray, shards: int) -> np.ndarray:
         best = int(np.argmax(np.where(fits, score, -np.inf))) if fits.any() else int(np.argmin(over))
         out[i] = best
         left[best] -= share[i]
-    return out
+    return settled(share, out, 1 - left)
+
+
+#: How much the measures weigh when what was placed is settled; bytes are what the law promises.
+WEIGHTS = np.array([16.0, 1.0, 1.0])
+
+
+def settled(share: np.ndarray, place: np.ndarray, load: np.ndarray, rounds: int = 5000) -> np.ndarray:
+    """Moves single items from the fullest to the emptiest shard of a measure while that evens them out."""
+    place, load = place.copy(), load.copy()
+    for _ in range(rounds):
+        for measure in range(share.shape[1]):
+            full, empty = int(load[:, measure].argmax()), int(load[:, measure].argmin())
+            own = np.flatnonzero(place == full)
+            gain = (WEIGHTS * (share[own] ** 2 - share[own] * (load[full] - load[empty]))).sum(axis=1)
+            if len(own) and gain.min() < -1e-12:
+                item = own[gain.argmin()]
+                place[item] = empty
+                load[full] -= share[item]
+                load[empty] += share[item]
+                break
+        else:
+            break
+    return place
 
 
 def shard(
