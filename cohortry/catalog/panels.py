@@ -6,6 +6,9 @@ snapshot is joined to it and aggregated again.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry import specs
@@ -476,3 +479,54 @@ def sink_segments(spark, sf_dir):
         for name, path in paths.items()
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# -- prepared tables -----------------------------------------------------------------------
+
+@query("sink_tables", behaviour_sql("quarter") + """
+SELECT 'companies' AS name, count(*) AS n, sum(company)::BIGINT AS keys, 0::BIGINT AS sent FROM master
+UNION ALL SELECT 'churn', count(*), sum(company)::BIGINT, 0 FROM churn
+UNION ALL SELECT 'churn_basic', count(*), sum(company)::BIGINT, 0 FROM churn_basic
+UNION ALL SELECT 'behaviour', count(*), sum(company)::BIGINT, sum(sum_trans_sent)::BIGINT FROM behaviour
+UNION ALL SELECT 'party_ids', count(*), sum(company_id)::BIGINT, 0 FROM ids""")
+def sink_tables(spark, sf_dir):
+    """Writes the prepared tables, the panel partitioned by month, and sums up
+    what is read back."""
+    paths = sinks.write_prepared(build(spark, sf_dir, QUARTERS).as_dict(), fresh_folder(spark))
+
+    def summed(name, path):
+        df = readers.read_table(spark, path)
+        company = F.col("company_id" if name == "party_ids" else "company")
+        sent = F.sum("sum_trans_sent") if name == "behaviour" else F.lit(0)
+        return df.agg(
+            F.lit(name).alias("name"), F.count("*").alias("n"), F.sum(company).cast("bigint").alias("keys"),
+            sent.cast("bigint").alias("sent"),
+        )
+
+    return reduce(DataFrame.unionByName, [summed(name, path) for name, path in paths.items()])
+
+
+LIMITED = specs.SnapshotSpec(
+    window="trailing", lifecycle_from="199601", lifecycle_before="199901", transactions_before="199807",
+    registry_before="2001-01-01",
+)
+
+
+@query("date_limited_inputs", with_(B.TX, B.EVENTS, B.REGISTRY) + """,
+started AS (SELECT *, strftime(ts, '%Y%m') AS month FROM ev_all WHERE strftime(ts, '%Y%m') >= '199601'),
+cohort AS (SELECT DISTINCT company FROM started WHERE action = 'alta' AND plan_name = 'basic')
+SELECT 'events' AS name, count(*) AS n, sum(event_id)::BIGINT AS keys FROM started
+WHERE month < '199901' AND company IN (SELECT company FROM cohort)
+UNION ALL SELECT 'transactions', count(*), sum(cents)::BIGINT FROM tx
+WHERE ym < '199807' AND company_id IN (SELECT company FROM cohort)
+UNION ALL SELECT 'registry', count(*), coalesce(sum(company_id), 0)::BIGINT FROM reg_new
+WHERE date_last_updated < TIMESTAMP '2001-01-01' AND company_id IN (SELECT company FROM cohort)""")
+def date_limited_inputs(spark, sf_dir):
+    """The inputs of the product that all four date bounds limit."""
+    p = features.prepare(B.raw(spark, sf_dir), LIMITED, tie="version")
+    line = lambda name, df, key: df.agg(
+        F.lit(name).alias("name"), F.count("*").alias("n"), F.coalesce(F.sum(key).cast("bigint"), F.lit(0)).alias("keys")
+    )
+    return line("events", p.events, "event_id").unionByName(
+        line("transactions", p.tx, party.cents())
+    ).unionByName(line("registry", p.registry, "company_id"))

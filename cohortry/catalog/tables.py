@@ -374,37 +374,6 @@ def recency_days(spark, sf_dir):
 
 # -- sinks and prepared tables -----------------------------------------------------------------
 
-@query("sink_tables", LIFE + """
-SELECT 'companies' AS name, count(*) AS n, sum(company)::BIGINT AS keys FROM master
-UNION ALL SELECT 'churn', count(*), sum(company)::BIGINT FROM churn
-UNION ALL SELECT 'churn_basic', count(*), sum(company)::BIGINT FROM churn_basic
-UNION ALL SELECT 'behaviour', count(*), sum(company)::BIGINT FROM (
-  SELECT company, strftime(ts, '%Y%m') AS ym, count(*) FROM ev_all GROUP BY ALL)
-UNION ALL SELECT 'party_ids', count(*), sum(company_id)::BIGINT FROM reg_new WHERE xin_value IS NOT NULL""")
-def sink_tables(spark, sf_dir):
-    """Writes the five kinds of prepared table, the monthly one partitioned by
-    month, and sums up what is read back."""
-    ev, registry = events(spark, sf_dir), newest_registry(spark, sf_dir)
-    tables = {
-        "companies": lifecycle.company_master(ev, registry),
-        "churn": lifecycle.churn_premium(ev),
-        "churn_basic": lifecycle.churn_basic(ev),
-        "behaviour": ev.groupBy("company", "timestamp_ym").agg(F.count("*").alias("n")),
-        "party_ids": identity.registry_ids(registry).withColumnRenamed("company_id", "company"),
-    }
-    paths = sinks.write_prepared(tables, fresh_folder(spark))
-    parts = [
-        readers.read_table(spark, path).agg(
-            F.lit(name).alias("name"), F.count("*").alias("n"), F.sum("company").alias("keys")
-        )
-        for name, path in paths.items()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
 @query("scan_prepared", LIFE + f"SELECT {MASTER_COLUMNS} FROM master",
     ('number_clients', 'days_until_premium', 'days_until_invoice', 'days_until_client', 'active_prem'))
 def scan_prepared(spark, sf_dir):
