@@ -91,3 +91,25 @@ def numbered(
         .withColumn(out, (F.col("_rn") + F.col("_off")).cast("bigint"))
         .drop("_h", "_b", "_rn", "_off")
     )
+
+
+def lowest(df: DataFrame, key: list[str], seed: int, n: int, digits: int = 4) -> DataFrame:
+    """The n rows with the lowest hash, as `numbered` ranks them.
+
+    Rows are counted in 16**digits buckets of the hash. Buckets that lie below
+    the limit as a whole are kept by a filter, and only the one in which it
+    falls is numbered, so the other rows are neither shuffled nor sorted.
+    """
+    rows = df.withColumn("_h", hash_of(*key, seed=seed)).withColumn("_b", F.substring("_h", 1, digits))
+    upto = W.orderBy("_b").rowsBetween(W.unboundedPreceding, 0)
+    # One line for each bucket.
+    filled = rows.groupBy("_b").agg(F.count("*").alias("_n")).withColumn("_upto", F.sum("_n").over(upto))
+    edge = filled.filter(F.col("_upto") >= n).orderBy("_b").first()
+    if edge is None:
+        return df
+    inside = rows.filter(F.col("_b") < edge["_b"])
+    last = rows.filter(F.col("_b") == edge["_b"]).withColumn(
+        "_rn", F.row_number().over(W.partitionBy("_b").orderBy("_h", *key))
+    )
+    last = last.filter(F.col("_rn") <= n - (edge["_upto"] - edge["_n"])).drop("_rn")
+    return inside.unionByName(last).drop("_h", "_b")

@@ -13,7 +13,7 @@ from cohortry.catalog import bindings as B
 from cohortry.catalog import panels as P
 from cohortry.catalog import tables as C
 from cohortry.functions.quantiles import quantiles
-from cohortry.functions.scale import numbered
+from cohortry.functions.scale import lowest, numbered
 from cohortry.operators import party, running
 from cohortry.sources import readers
 
@@ -94,6 +94,14 @@ def test_numbering_follows_the_hash(spark):
         assert list(part.id) == want and list(part["rank"]) == list(range(1, 251))
 
 
+def test_lowest_are_the_first_numbered(spark):
+    df = spark.range(700)
+    ranks = {r.id: r["rank"] for r in numbered(df, ["id"], 5, digits=1).collect()}
+    for n in (0, 1, 333, 700, 900):
+        got = {r.id for r in lowest(df, ["id"], 5, n, digits=1).collect()}
+        assert got == {i for i, k in ranks.items() if k <= n}
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     df = B.table(spark, sf_dir, "orders").filter(F.col("o_custkey") > 10).select("o_orderkey")
     text = plan(df)
