@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.functions.scale import hash_of, materialized
+from cohortry.functions.scale import drawn, hash_of, materialized
 
 
 @dataclass(frozen=True)
@@ -123,8 +123,10 @@ def fit(docs: DataFrame, labels: DataFrame, spec: ClassifierSpec = ClassifierSpe
         F.col(id_col).cast("bigint").alias("id"), F.col(label_col).cast("int").alias("label")
     )
     shares = {r.label: r["count"] for r in marked.groupBy("label").count().collect()}
-    ordered = marked.withColumn("h", hash_of("id", seed=5))
-    chosen = [ordered.where(F.col("label") == k).orderBy("h", "id").limit(spec.rows) for k in (0, 1)]
+    chosen = [
+        drawn(marked.where(F.col("label") == k), ["id"], 5, spec.rows, shares.get(k, 0)).withColumn("h", hash_of("id", seed=5))
+        for k in (0, 1)
+    ]
     # At most 2 * rows rows.
     sample = materialized(
         docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))

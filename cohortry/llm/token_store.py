@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.functions.scale import hash_of
+from cohortry.functions.scale import drawn
 from cohortry.llm.tokens import byte_level, in_groups
 
 
@@ -68,9 +68,8 @@ def serialized(texts: list[str | None], spec: StoreSpec) -> list[bytes]:
 
 def train_dictionary(docs: DataFrame, spec: StoreSpec) -> bytes:
     """A raw dictionary from a bounded sample in hash order; too few rows give an empty one."""
-    order = hash_of("doc_id", F.crc32(F.encode("text", "UTF-8")), seed=9)
-    sample = docs.where("text IS NOT NULL").select("doc_id", F.substring("text", 1, spec.sample_bytes).alias("text"), order.alias("h"))
-    rows = sample.orderBy("h").limit(spec.sample).select("text").collect()
+    sample = drawn(docs, ["doc_id", F.xxhash64("text")], 9, spec.sample, docs.count())
+    rows = sample.select(F.substring("text", 1, spec.sample_bytes).alias("text")).collect()
     pieces = [x[:spec.sample_bytes] for x in serialized([r.text for r in rows], spec)]
     try:
         return zstandard.train_dictionary(spec.dictionary_bytes, pieces).as_bytes() if len(pieces) >= 16 else b""

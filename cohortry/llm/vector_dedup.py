@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.functions.scale import hash_of, materialized
+from cohortry.functions.scale import drawn, materialized
 from cohortry.llm.components import components
 
 SLACK = 1e-6  # on distances, for rounding: too many candidates, never too few
@@ -184,7 +184,7 @@ def near_vectors(rows: DataFrame, spec: VectorSpec = VectorSpec(), id_col: str =
     ))
     count = classes.count()
     wanted = min(spec.most_pivots, -(-count // spec.per_pivot))
-    picked = classes.select("vec", hash_of("id", seed=4).alias("h")).orderBy("h").limit(wanted).collect()
+    picked = drawn(classes, ["id"], 4, wanted, count).select("vec").collect()
     pivots = _unit(np.array([r.vec for r in picked]))
     placed = materialized(classes.select("id", "weight", "vec").mapInArrow(
         _assign(pivots), "id bigint, weight bigint, vec array<double>, cell int, far double"
