@@ -13,11 +13,14 @@ What bounds the work:
   leave fewer than that out (the prefix rule). A value that one class holds
   alone generates nothing, and a passage that many texts share lies outside
   the entered part unless it makes up most of a text.
+- The texts that meet are listed once more by their full sets, again the rarest
+  shingles first. Sizes, the number of shingles that others have too, and the
+  place of the first common one rule out most pairs inside the lists.
 - Only components are asked for, so a long list isn't expanded to pairs. In
   each round its most typical open member is compared with all others; members
   that are already connected need no comparison. What then lies outside the
   list's largest component is compared with everything that it isn't connected
-  to. No list is cut and no pair is lost.
+  to and that the bounds allow. No list is cut and no pair is lost.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from pyspark.sql import functions as F
 
 from cohortry.functions.scale import materialized
 from cohortry.llm import wordhash
-from cohortry.llm.components import components
+from cohortry.llm.components import compact, components
 
 ROWS = 512  # texts hashed together
 
@@ -43,17 +46,17 @@ class NearSpec:
 
     k values are retained. A pair at the similarity shares each value of the
     union's sketch with that probability; with k = 64 and 75 it shares fewer
-    than least_shared = 26 of them in about one of 10**9 cases, and smaller
-    sets are compared exactly. rounds: of typical members, before what is
-    left is compared in full; earlier if that is at most `spare` pairs for
-    each entry of a list.
+    than least_shared = 28 of them in about one of 10**8 cases, and smaller
+    sets are compared exactly. rounds: of typical members at most, before
+    what is left is compared in full; it is earlier if a round doesn't halve
+    the work, or leaves at most `spare` comparisons for each entry of a list.
     """
 
     similarity: int = 75
     k: int = 64
-    least_shared: int = 26
-    rounds: int = 8
-    spare: int = 4
+    least_shared: int = 28
+    rounds: int = 6
+    spare: int = 16
 
 
 PRODUCTION = NearSpec()
@@ -92,16 +95,17 @@ def _required(n: Column, spec: NearSpec) -> Column:
     return F.when(n * 100 > F.lit(spec.similarity * spec.k), F.least(exact, F.lit(spec.least_shared))).otherwise(exact)
 
 
-def _entries(reps: DataFrame, spec: NearSpec) -> DataFrame:
-    """(v, id, n, typical): each class's rarest retained values that others hold too.
+def _brought_together(reps: DataFrame, spec: NearSpec) -> DataFrame:
+    """(id) of classes that meet another one in an inverted list of retained values.
 
-    typical: how widely shared the values of a sketch are altogether.
+    A sketch enters only its rarest values, as many as leave fewer than the
+    required number out, and of these only what others hold too.
     """
     held = reps.select("id", F.explode("sketch").alias("v"))
     shared = held.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
     listed = (
         held.join(shared, "v").groupBy("id")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("values"), F.sum("df").alias("typical"))
+        .agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("values"))
     )
     open_ = F.col("kept") - _required(F.col("n"), spec) + 1 - (F.col("kept") - F.size("values"))
     entered = (
@@ -109,11 +113,35 @@ def _entries(reps: DataFrame, spec: NearSpec) -> DataFrame:
         .withColumn("open", open_.cast("int")).where("open > 0")
     )
     values = F.expr("transform(slice(values, 1, open), x -> x.v)")
-    return entered.select(F.explode(values).alias("v"), "id", "n", "typical")
+    listed = entered.select(F.explode(values).alias("v"), "id")
+    met = listed.groupBy("v").agg(F.count("*").alias("members")).where("members > 1").select("v")
+    return listed.join(met, "v").select("id").distinct()
 
 
-def _compatible(n: Column, m: Column, spec: NearSpec) -> Column:
-    return F.least(n, m) * 100 >= F.greatest(n, m) * spec.similarity
+def _placed(sets: DataFrame, spec: NearSpec) -> DataFrame:
+    """(v, id, n, rest, typical): the lists of full sets, for the texts that retained values brought together.
+
+    A set's shingles that others hold are put in order, the rarest first; rest
+    counts a shingle and those after it. A similar pair has its first common
+    shingle where both still have enough of them, so only those places enter.
+    """
+    held = sets.select("id", F.explode("all").alias("v"))
+    several = held.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
+    ordered = held.join(several, "v").groupBy("id").agg(
+        F.sort_array(F.collect_list(F.struct("df", "v"))).alias("values"), F.sum("df").alias("typical")
+    )
+    sized = ordered.join(sets.select("id", F.size("all").cast("bigint").alias("n")), "id")
+    least = F.ceil(F.col("n") * spec.similarity / 100)
+    cut = sized.withColumn("open", (F.size("values") - least + 1).cast("int")).where("open > 0")
+    return cut.select(
+        "id", "n", "typical", F.size("values").alias("shared"), F.posexplode(F.expr("transform(slice(values, 1, open), x -> x.v)")).alias("at", "v")
+    ).select("v", "id", "n", (F.col("shared") - F.col("at")).cast("bigint").alias("rest"), "typical")
+
+
+def _possible(n: Column, rest: Column, m: Column, other: Column, spec: NearSpec) -> Column:
+    """Whether two sets whose first common shingle this is can be similar enough."""
+    common = F.least(rest, other)
+    return common * 100 >= (n + m - common) * spec.similarity
 
 
 def _estimated(pairs: DataFrame, reps: DataFrame, spec: NearSpec) -> DataFrame:
@@ -140,52 +168,55 @@ def _verified(pairs: DataFrame, sets: DataFrame, spec: NearSpec) -> DataFrame:
 
 def _linked(docs: DataFrame, reps: DataFrame, spec: NearSpec) -> DataFrame:
     """(id, component) of the classes' first documents that are linked to others."""
-    entries = materialized(_entries(reps, spec))
-    # A list with one entry can't pair; lists of the same members still can.
-    wanted = entries.select("id").distinct()
-    texts = docs.join(wanted, "id", "left_semi")
+    texts = docs.join(_brought_together(reps, spec), "id", "left_semi")
     sets = materialized(texts.mapInArrow(_full_sets, "id bigint, `all` array<bigint>"))
-    found = entries.select("id").distinct().withColumn("component", F.col("id"))
-    links, asked = None, None
+    entries = materialized(_placed(sets, spec))
+    total = entries.count()
+    every = compact(entries.select("id").distinct(), total)
+    found = every.withColumn("component", F.col("id"))
+    links, asked, before = None, None, None
     for turn in range(spec.rounds + 1):
         placed = entries.join(found, "id")
         parts = placed.groupBy("v", "component").agg(
-            F.count("*").alias("members"), F.max(F.struct("typical", "id", "n")).alias("best"),
+            F.count("*").alias("members"), F.min("n").alias("least"),
+            F.max(F.struct("typical", "id", "n", "rest", "component")).alias("best"),
         )
         lists = parts.groupBy("v").agg(
-            F.sum("members").alias("size"), F.count("*").alias("parts"),
-            F.max(F.struct("members", "component")).alias("most"),
-            F.max(F.struct("best.typical", "best.id", "best.n", "component")).alias("first"),
-        ).where("parts > 1")
-        lists = lists.select("v", "size", F.col("most.component").alias("main"), F.col("most.members").alias("many"), "first")
-        if turn:
-            lists = materialized(lists)
-            work = lists.agg(F.sum((F.col("size") - F.col("many")) * F.col("size")), F.count("*")).first()
-            if not work[1]:
-                break
-            last = turn == spec.rounds or work[0] <= spec.spare * entries.count()
-            outside = placed.join(lists.select("v", "main"), "v").where("component <> main")
-            if last:
-                one = outside.select("v", "id", "n", "component")
-            else:
-                one = outside.groupBy("v").agg(F.max(F.struct("typical", "id", "n", "component")).alias("x"))
-                one = one.select("v", "x.id", "x.n", "x.component")
+            F.sum("members").alias("size"), F.count("*").alias("parts"), F.min("least").alias("least"),
+            F.max(F.struct("members", "component")).alias("most"), F.max("best").alias("best"),
+        ).where("parts > 1").select("v", "size", "least", F.col("most.component").alias("main"), "best")
+        if turn == 0:
+            last, one = False, lists.select("v", "best.*")
         else:
-            last, one = False, lists.select("v", "first.id", "first.n", "first.component")
-        one = one.select("v", F.col("id").alias("id_1"), F.col("n").alias("n_1"), F.col("component").alias("component_1"))
+            # Whether the text has enough left to be similar to the smallest set of the list.
+            room = F.floor(F.col("rest") * (100 + spec.similarity) / spec.similarity) - F.col("n")
+            outside = compact(
+                placed.join(lists.select("v", "size", "least", "main"), "v")
+                .where((F.col("component") != F.col("main")) & (room >= F.col("least"))).drop("least", "main"), total
+            )
+            work = outside.agg(F.sum("size")).first()[0]
+            if not work:
+                break
+            last = turn == spec.rounds or work <= spec.spare * total or before is not None and 2 * work > before
+            before = work
+            one = outside.select("v", "typical", "id", "n", "rest", "component")
+            if not last:
+                one = one.groupBy("v").agg(F.max(F.struct("typical", "id", "n", "rest", "component")).alias("x")).select("v", "x.*")
+        one = one.select("v", *[F.col(c).alias(f"{c}_1") for c in ("id", "n", "rest", "component")])
         pairs = placed.join(one, "v").where(
-            (F.col("component") != F.col("component_1")) & _compatible(F.col("n"), F.col("n_1"), spec)
+            (F.col("component") != F.col("component_1"))
+            & _possible(F.col("n"), F.col("rest"), F.col("n_1"), F.col("rest_1"), spec)
         ).select(F.least("id", "id_1").alias("a"), F.greatest("id", "id_1").alias("b")).distinct()
         if asked is not None:
             pairs = pairs.join(asked, ["a", "b"], "left_anti")
         pairs = materialized(pairs)
         asked = pairs if asked is None else asked.union(pairs)
-        good = _verified(_estimated(pairs, reps, spec), sets, spec)
+        good = materialized(_verified(_estimated(pairs, reps, spec), sets, spec))
         links = good if links is None else links.union(good)
-        links = materialized(links)
         merged = components(links)
-        every = entries.select("id").distinct().join(merged, "id", "left")
-        found = materialized(every.select("id", F.coalesce("component", "id").alias("component")))
+        found = compact(
+            every.join(merged, "id", "left").select("id", F.coalesce("component", "id").alias("component")), total
+        )
         if last:
             break
     return found
