@@ -135,7 +135,26 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces_of(table(spark, sf_dir, "documents"))
 
 
-@query("op7_near_duplicates")
+@query("op7_near_duplicates", rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(CASE WHEN len(w) < 5 THEN w ELSE list_slice(w, i, i + 4) END, ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM t WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sets x JOIN sets y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+),
+ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM ways UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a),
+least AS (SELECT a, least(a, min(b)) AS component FROM reach GROUP BY a)
+SELECT t.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, t.doc_id) AS component_id,
+       coalesce(component, t.doc_id) = t.doc_id AS kept
+FROM t LEFT JOIN sizes ON sizes.doc_id = t.doc_id LEFT JOIN least ON a = t.doc_id""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
 
