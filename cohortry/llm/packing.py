@@ -28,7 +28,7 @@ class PackSpec:
     window: int = 1024
     end_id: int = 0
     batch: int = 1024
-    longest: int = 512
+    longest: int = 256
     waste: float = 0.01
     shortest: int = 64
 

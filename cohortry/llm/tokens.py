@@ -13,12 +13,13 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
 
-KNOWN = 300_000  # distinct pieces a worker remembers; then it starts anew
-KNOWN_IDS = 4_000_000  # and their ids
+KNOWN = 700_000  # distinct pieces a worker remembers; then it starts anew
+KNOWN_IDS = 8_000_000  # and their ids
 
 
 class PieceTable:
@@ -34,7 +35,7 @@ class PieceTable:
 
     def _learn(self, pieces: list[str]) -> None:
         place = self._place
-        fresh = [p for p in dict.fromkeys(pieces) if p not in place]
+        fresh = list(dict.fromkeys(filterfalse(place.__contains__, pieces)))
         if not fresh:
             return
         flat, sizes = self._encode(fresh)
@@ -44,6 +45,8 @@ class PieceTable:
 
     def ids(self, pieces: list[str], ends: np.ndarray) -> list[np.ndarray]:
         """The ids of each text, whose pieces end at ends."""
+        if not len(ends):
+            return []
         if len(self._place) > KNOWN or len(self._ids) > KNOWN_IDS:
             self._clear()
         self._learn(pieces)
@@ -58,8 +61,9 @@ class PieceTable:
 _AFTER_SPACE = re.compile(r"\s ")
 
 
-# One word of Latin letters with the mark that follows: the file's pattern cuts it there.
-_WORD = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?|*%$#&]*)")
+# Words of Latin letters with the marks that follow, on one line or two: the file's pattern cuts at each group.
+_LETTERS, _MARKS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+", "[.,;:!?|*%$#&]*"
+_WORD = re.compile(f"( ?{_LETTERS})({_MARKS})(?:(\n)({_LETTERS})({_MARKS}))?")
 
 
 def _visible_bytes() -> dict[int, str]:
@@ -87,6 +91,7 @@ class ByteLevel:
         self._library = Tokenizer.from_file(path)
         self._library.encode_special_tokens = True
         self._merge, self._shown = self._library.model.tokenize, _visible_bytes()
+        self._words: dict[str, tuple[int, ...]] = {}
         self._table = PieceTable(self._pieces)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
@@ -94,23 +99,34 @@ class ByteLevel:
 
     def _pieces(self, pieces: list[str]) -> tuple[list[int], list[int]]:
         """The pieces' ids, one after another, and how many each has."""
-        other = [p for p in pieces if not _WORD.fullmatch(p)]
-        known = {p: tuple(x) for p, x in zip(other, self.whole(other), strict=True)}
+        found = list(map(_WORD.fullmatch, pieces))
+        other = iter(self.whole([p for p, m in zip(pieces, found, strict=True) if m is None]))
+        words, merged = self._words, self._merged
+        if len(words) > KNOWN:
+            words.clear()
         flat, sizes = [], []
-        for piece in pieces:
-            ids = known.get(piece)
-            if ids is None:
-                word, mark = _WORD.fullmatch(piece).groups()
-                ids = known.get(word) or self._merged(word, known)
+        for match in found:
+            if match is None:
+                ids = next(other)
+            else:
+                word, mark, line, after, last = match.groups()
+                ids = words.get(word) or merged(word)
                 if mark:
-                    ids += known.get(mark) or self._merged(mark, known)
+                    ids += words.get(mark) or merged(mark)
+                if line:
+                    ids += (words.get(line) or merged(line)) + (words.get(after) or merged(after))
+                    if last:
+                        ids += words.get(last) or merged(last)
             flat += ids
             sizes.append(len(ids))
         return flat, sizes
 
-    def _merged(self, part: str, known: dict[str, tuple]) -> tuple[int, ...]:
-        raw = part.encode().decode("latin1").translate(self._shown)
-        known[part] = ids = tuple([t.id for t in self._merge(raw)])
+    def _merged(self, part: str) -> tuple[int, ...]:
+        if part.isascii() and part[0] != "\n":
+            shown = part.replace(" ", self._shown[32])
+        else:
+            shown = part.encode().decode("latin1").translate(self._shown)
+        self._words[part] = ids = tuple([t.id for t in self._merge(shown)])
         return ids
 
     def batch(self, texts: list[str | None]) -> list[np.ndarray]:
