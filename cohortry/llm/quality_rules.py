@@ -4,8 +4,10 @@ Measures of a text are whole numbers. A quantile sketch is the counts of their
 logarithmic buckets (32 for each power of two, so 3 % apart). Sketches merge by
 adding counts: those of sources give a language's, and those of languages the
 corpus's, which stand in where a group is too small to judge by itself. Fences
-lie beyond the median by a multiple of the spread on its other side, which junk
-on this side doesn't widen. Texts outside a fence are not kept.
+lie beyond the median by a multiple of a spread: of that on its other side,
+which junk on this side doesn't widen, or with own_side of that on the fence's
+own side, which is wide where a measure is skewed. Texts outside a fence are not
+kept.
 """
 
 from __future__ import annotations
@@ -40,6 +42,12 @@ FENCES = (
     Fence("doubled", "high", 500), Fence("repeated", "high", 300),
     Fence("letters", "high", 400), Fence("letters", "low", 250),
 )
+#: For spreads of the fence's own side: distances so small that they decide only where nine tenths of a group are alike.
+SPREAD_FENCES = (
+    Fence("symbols", "high", 10), Fence("capitals", "high", 5), Fence("exclaimed", "high", 5),
+    Fence("doubled", "high", 50), Fence("repeated", "high", 50),
+    Fence("letters", "high", 10), Fence("letters", "low", 10),
+)
 MEASURES = ("symbols", "capitals", "exclaimed", "doubled", "repeated", "letters")
 
 
@@ -47,12 +55,18 @@ MEASURES = ("symbols", "capitals", "exclaimed", "doubled", "repeated", "letters"
 class RuleSpec:
     """least_docs: rows that a group needs for fences of its own. spreads: how
     many times the distance between the 10th (or 90th) percentile and the
-    median a fence lies beyond it. Base rules: least_words, most_repeated in percent."""
+    median a fence lies beyond it; own_side: whether the percentile is the one on
+    the fence's side. Base rules: least_words, most_repeated in percent."""
 
     least_docs: int = 200
     spreads: int = 4
     least_words: int = 20
     most_repeated: int = 30
+    fences: tuple[Fence, ...] = FENCES
+    own_side: bool = False
+
+
+SPREAD_RULES = RuleSpec(fences=SPREAD_FENCES, own_side=True)
 
 
 def let(value: Column, body) -> Column:
@@ -155,12 +169,11 @@ def cutoffs(sketch: DataFrame, spec: RuleSpec) -> DataFrame:
     pick = lambda n: F.when(F.col("docs") >= spec.least_docs, F.col(n)).when(F.col("l_docs") >= spec.least_docs, F.col(f"l_{n}")).otherwise(F.lit(of_all[n]).cast("bigint"))
     chosen = joined.select("lang", "source", *[pick(n).alias(n) for n in names])
     fences = []
-    for f in FENCES:
+    for f in spec.fences:
         mid, low, high = (F.col(f"p{q}_{f.measure}") for q in (50, 10, 90))
-        if f.side == "high":
-            fences.append((mid + F.greatest(F.lit(f.least), spec.spreads * (mid - low))).alias(f"high_{f.measure}"))
-        else:
-            fences.append((mid - F.greatest(F.lit(f.least), spec.spreads * (high - mid))).alias(f"low_{f.measure}"))
+        spread = high - mid if (f.side == "high") == spec.own_side else mid - low
+        reach = F.greatest(F.lit(f.least), spec.spreads * spread)
+        fences.append((mid + reach if f.side == "high" else mid - reach).alias(f"{f.side}_{f.measure}"))
     return chosen.select("lang", "source", *fences)
 
 
@@ -187,10 +200,10 @@ def judged(docs: DataFrame, spec: RuleSpec = RuleSpec(), carry: bool = False, id
     full = rows.withColumns(shares() | {"base_failed": failed})
     limits = cutoffs(materialized(sketches(full.where("NOT base_failed"))), spec).select(
         F.col("lang").alias("c_lang"), F.col("source").alias("c_source"),
-        *[F.col(f"{f.side}_{f.measure}") for f in FENCES],
+        *[F.col(f"{f.side}_{f.measure}") for f in spec.fences],
     )
     placed = full.join(limits, F.col("lang").eqNullSafe(F.col("c_lang")) & F.col("source").eqNullSafe(F.col("c_source")), "left")
-    inside = [F.col(f.measure) <= F.col(f"high_{f.measure}") if f.side == "high" else F.col(f.measure) >= F.col(f"low_{f.measure}") for f in FENCES]
+    inside = [F.col(f.measure) <= F.col(f"high_{f.measure}") if f.side == "high" else F.col(f.measure) >= F.col(f"low_{f.measure}") for f in spec.fences]
     verdict = reduce(lambda a, b: a & b, inside)
     return placed.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

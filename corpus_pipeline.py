@@ -20,8 +20,8 @@ def well_classified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def within_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and their group's fences."""
-    return quality_rules.judged(docs, carry=True).where("kept").select("row.*")
+    """Documents that pass the base rules and their group's fences, by spreads of the fences' own sides."""
+    return quality_rules.judged(docs, quality_rules.SPREAD_RULES, carry=True).where("kept").select("row.*")
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

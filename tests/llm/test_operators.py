@@ -172,6 +172,36 @@ def test_base_rules_equal_brute_force(spark):
         assert x.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0]) and not (x.base_failed and x.kept)
 
 
+def test_each_fence_follows_the_spread_of_its_group(spark):
+    """A value that the wide group keeps is rejected in the narrow one, by each fence alone; both groups have the same median."""
+    rules = quality_rules.SPREAD_RULES
+    rows = []
+    for f in rules.fences:
+        sign = 1 if f.side == "high" else -1
+        for source, step in (("narrow", 1), ("wide", 10)):
+            rows += [(f"{f.side}_{f.measure}", source, f.measure, 600 + sign * step * (k % 21)) for k in range(420)]
+    table = spark.createDataFrame(rows, "lang string, source string, m string, v bigint").select(
+        "lang", "source", *[F.when(F.col("m") == m, F.col("v")).otherwise(0).alias(m) for m in quality_rules.MEASURES]
+    )
+    limits = {(r.lang, r.source): r for r in quality_rules.cutoffs(quality_rules.sketches(table), rules).collect()}
+    for f in rules.fences:
+        name = f"{f.side}_{f.measure}"
+        narrow, wide = (abs(limits[name, s][name] - 600) for s in ("narrow", "wide"))
+        assert f.least <= narrow < 100 + f.least < 300 < wide, (name, narrow, wide)
+
+
+def test_repeated_passages_below_the_base_rule_are_rejected(spark):
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    texts = [" ".join(word() for _ in range(100)) for _ in range(300)]
+    twice = [word() for _ in range(12)]
+    odd = " ".join(twice + [word() for _ in range(60)] + twice + [word() for _ in range(20)])
+    docs = spark.createDataFrame([(k, t, "en", "s") for k, t in enumerate([*texts, odd])], "doc_id int, text string, lang string, source string")
+    got = {x.doc_id: x for x in quality_rules.judged(docs, quality_rules.SPREAD_RULES).collect()}
+    assert not got[300].base_failed and got[300].repeated > 200 and not got[300].kept
+    assert sum(x.kept for x in got.values()) > 250
+
+
 def test_sketches_merge_and_are_close(spark):
     rows = spark.range(5000).select(
         F.lit("en").alias("lang"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"), *[(F.col("id") * 3).alias(m) for m in quality_rules.MEASURES]
