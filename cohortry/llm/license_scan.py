@@ -3,8 +3,11 @@
 A text is cut into sentences at line ends and after . ! ? before white space. A
 sentence is normalised to its lower-case ASCII letters and digits with single
 spaces between; known ones are replaced by their identifiers, the others
-vanish. Rules are tried in order, so that a long notice is taken before a
-sentence that it holds; what a rule has taken, later ones don't see.
+vanish. A line end inside a paragraph is white space as well: a sentence may run
+over any number of whole lines, the longest known one counts. Lines without
+letters or digits end a paragraph. Rules are tried in order, so that a long
+notice is taken before a sentence that it holds; what a rule has taken, later
+ones don't see.
 """
 
 from __future__ import annotations
@@ -32,14 +35,43 @@ SENTENCES = {
     "redistributions of source code must retain the above copyright notice": "bsd-source",
     "redistributions in binary form must reproduce the above copyright notice": "bsd-binary",
     "all rights reserved": "reserved",
+    # As the licences have them: whole sentences, and those that a line of its own or a semicolon parts or joins.
+    "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license": "apache2-grant",
+    "you may obtain a copy of the license at": "apache2-obtain",
+    "http www apache org licenses license 2 0": "apache2-url",
+    "https www apache org licenses license 2 0": "apache2-url",
+    "you may obtain a copy of the license at https www apache org licenses license 2 0": "apache2-copy",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "mit-warranty",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl3-notice",
+    "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd-source",
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "bsd-binary",
+    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-names",
+    "this work is licensed under cc by nc 4 0": "ccbync4-under",
+    "this work is licensed under cc by 4 0": "ccby4-under",
+    "this work is licensed under cc by sa 4 0": "ccbysa4-under",
+    **{
+        f"this work is licensed under {article} creative commons {kind} 4 0 international license": found
+        for article in ("a", "the")
+        for kind, found in (
+            ("attribution noncommercial", "ccbync4-under"), ("attribution", "ccby4-under"), ("attribution sharealike", "ccbysa4-under"),
+        )
+    },
 }
 
 #: Rules in order: licence, sequence of identifiers that follow one another.
 RULES = (
     ("Apache-2.0", ("apache2-defined", "apache2-comply", "apache2-copy")),
+    ("Apache-2.0", ("apache2-defined", "apache2-comply", "apache2-obtain", "apache2-url")),
+    ("Apache-2.0", ("apache2-grant", "apache2-copy")),
+    ("Apache-2.0", ("apache2-grant", "apache2-obtain", "apache2-url")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl3-later")),
+    ("GPL-3.0-or-later", ("gpl3-notice",)),
     ("MIT", ("mit-notice", "mit-warranty")),
+    ("BSD-3-Clause", ("reserved", "bsd-source", "bsd-binary", "bsd-names")),
+    ("BSD-3-Clause", ("bsd-source", "bsd-binary", "bsd-names")),
+    ("BSD-2-Clause", ("reserved", "bsd-source", "bsd-binary")),
     ("BSD-2-Clause", ("bsd-source", "bsd-binary")),
+    ("Apache-2.0", ("apache2-grant",)),
     ("Apache-2.0", ("apache2-defined",)),
     ("Apache-2.0", ("apache2-under",)),
     ("MIT", ("mit-under",)),
@@ -50,7 +82,9 @@ RULES = (
     ("Proprietary", ("reserved",)),
 )
 
-BREAK = r"\n|[.!?]+(?:[ \t\r\f\x0B]+|$)"
+MARKS = r"[.!?]+(?:[ \t\r\f\x0B]+|$)"
+#: The holder that the third BSD clause names.
+HOLDER = r"(?<=\|)neither[ |]the[ |]names?[ |]of[ |](?:[a-z0-9]+[ |]){1,20}?nor[ |]the[ |]names[ |]of[ |]its[ |]contributors(?=[ |])"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -59,13 +93,21 @@ def _anchors(sentences: dict[str, str]) -> str:
     return "(?i)" + "|".join(sorted({max(s.split(), key=len) for s in sentences}))
 
 
+def _runs(sentences: dict[str, str]) -> str:
+    """A pattern of each sentence over one or more whole lines, the longest first."""
+    longest = sorted(sentences, key=lambda s: (-len(s), s))
+    return r"(?<=\|)(?:" + "|".join(s.replace(" ", "[ |]") for s in longest) + r")(?=\|)"
+
+
 def identifiers(text: Column, sentences: dict[str, str] = SENTENCES) -> Column:
     """The identifiers of the known sentences in their order; null for a null text."""
     known = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
-    # The break stays out of a sentence; its line end may follow its mark.
-    lines = F.split(F.regexp_replace(text, "(?md)" + BREAK, "\n"), "\n")
-    normal = lambda s: F.trim(F.regexp_replace(F.translate(s, UPPER, LOWER), "[^a-z0-9]+", " "))
-    found = F.filter(F.transform(lines, lambda s: F.element_at(known, normal(s))), lambda x: x.isNotNull())
+    # Lines stand between bars; a mark becomes an empty line, which no sentence crosses.
+    cut = F.regexp_replace(text, "(?md)" + MARKS, "\n\n")
+    words = F.regexp_replace(F.translate(cut, UPPER, LOWER), "[^a-z0-9\n]+", " ")
+    lines = F.regexp_replace(F.concat(F.lit("\n"), words, F.lit("\n")), " ?\n ?", "|")
+    lines = F.regexp_replace(lines, HOLDER, "neither the name of the copyright holder nor the names of its contributors")
+    found = F.transform(F.regexp_extract_all(lines, F.lit(_runs(sentences)), F.lit(0)), lambda s: F.element_at(known, F.translate(s, "|", " ")))
     return F.when(text.isNull(), F.lit(None)).when(text.rlike(_anchors(sentences)), found).otherwise(F.array().cast("array<string>"))
 
 

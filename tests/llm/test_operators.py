@@ -81,6 +81,49 @@ def test_licence_rules_take_long_notices_first(spark):
     }
 
 
+WARRANTY = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\n'
+    "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE\nAUTHORS BE LIABLE."
+)
+BSD = (
+    "Copyright (c) 2020, The Authors\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n"
+    "1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n"
+    "2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n\n"
+)
+CLAUSE_3 = (
+    "3. Neither the name of {} nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n\n"
+)
+CC = "This work is licensed under\na Creative Commons Attribution{} 4.0\nInternational License."
+#: Notices as they are published, with the licences they give.
+NOTICES = (
+    ("Apache-2.0", (
+        'Copyright 2020 The Authors\n\nLicensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\n'
+        "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software"
+    )),
+    ("MIT", (
+        "MIT License\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n\n" + WARRANTY
+    )),
+    ("GPL-3.0-or-later", (
+        "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+        "the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope"
+    )),
+    ("BSD-2-Clause", BSD), ("BSD-3-Clause", BSD + CLAUSE_3.format("the copyright holder")), ("BSD-3-Clause", BSD + CLAUSE_3.format("Foo Institute of\n   Technology")),
+    ("CC-BY-4.0", CC.format("")), ("CC-BY-NC-4.0", CC.format("-NonCommercial")), ("CC-BY-SA-4.0", CC.format("-ShareAlike")),
+    ("GPL-3.0-only", "This work is licensed under the GNU General\nPublic License, version 3."), ("Proprietary", "Copyright 2020 Foo.\nAll rights\nreserved."),
+    ("MIT", "# Tool.\nReleased under\nthe MIT License."), ("Apache-2.0", "Licensed under the Apache\nLicense, Version 2.0"),
+)
+
+
+def test_published_notices_are_found_wrapped_and_unwrapped(spark):
+    """As published, each paragraph on one line, and as comments; a blank line or a mark still ends a sentence."""
+    forms = (lambda t: t, lambda t: re.sub(r"(?<!\n)\n *(?!\n)", " ", t), lambda t: re.sub("(?m)^", " * ", t), lambda t: t.replace("\n", "\r\n"))
+    rows = [(k, f, change(text)) for k, (_, text) in enumerate(NOTICES) for f, change in enumerate(forms)]
+    rows += [(-1, 0, "Released under\n\nthe MIT License"), (-1, 1, "Released. under\nthe MIT License"), (-1, 2, "Released under\n日本\nthe MIT License")]
+    docs = spark.createDataFrame([(f"{k} {f}", text) for k, f, text in rows], "doc_id string, text string")
+    got = {r.doc_id: r.licences for r in license_scan.licences(docs).collect()}
+    assert got == {f"{k} {f}": [NOTICES[k][0]] if k >= 0 else [] for k, f, _ in rows}
+
+
 def test_cascade_is_exact(spark):
     keys = spark.range(3000).select(F.concat(F.lit("k"), F.col("id") * 7).alias("key"))
     listed = keys.where("hash(key) % 9 = 0")
