@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -18,7 +19,8 @@ from cohortry.operators import cleaning, evaluate, labels, models, neighbours, o
 from cohortry.plans import features, propensity
 
 DIMS = [f"e{i}" for i in range(64)]
-FEW_TREES = specs.BoostedTrees(n_estimators=10, learning_rate=0.1)
+# The parameters that the reference's grids name, each with the one value of the models' specs.
+GRID = ("learning_rate", "n_estimators", "positive_weight", "subsample", "max_depth", "min_rows_per_leaf", "column_share", "min_gain")
 
 
 # -- inputs ------------------------------------------------------------------------
@@ -357,20 +359,35 @@ def upsell_classifier(spark, sf_dir):
     return scored
 
 
+def _both_models(spark, sf_dir):
+    """Name, spec, prepared rows and the parts of their split, of each model."""
+    for name, model, rows in (("churn", propensity.CHURN_MODEL, churn_rows), ("upsell", propensity.UPSELL_MODEL, upsell_rows)):
+        ready = _ready(spark, sf_dir, model, rows)
+        parts = materialized(sampling.ratio_split(ready.train, ready.everything, [propensity.KEY], model.split))
+        yield name, model, ready, parts
+
+
+def _united(tables):
+    return reduce(lambda a, b: a.unionByName(b), [df.select(F.lit(name).alias("model"), "*") for name, df in tables])
+
+
 @query("grid_search")
 def grid_search(spark, sf_dir):
-    rows = vectors(spark, sf_dir)
-    found = models.grid_search(rows, DIMS, FEW_TREES, {"maxDepth": [2, 3]})
-    lines_ = [
-        (int(list(params.values())[0]), float(auc))
-        for params, auc in zip(found.getEstimatorParamMaps(), found.avgMetrics)
-    ]
-    return spark.createDataFrame(lines_, "max_depth int, auc double")
+    """Each combination of the models' grids with its AUC, on the training part."""
+    lines_ = []
+    for name, model, ready, parts in _both_models(spark, sf_dir):
+        grid = {k: [getattr(model.trees, k)] for k in GRID}
+        found = models.search_trees(parts.filter("part = 'train'"), ready.features, model.trees, grid)
+        lines_ += [(name, *(float(getattr(trees, k)) for k in GRID), auc) for trees, auc in found]
+    return spark.createDataFrame(lines_, "model string, " + ", ".join(f"{k} double" for k in GRID) + ", auc double")
 
 
 @query("kfold_auc")
 def kfold_auc(spark, sf_dir):
-    return models.kfold_auc(vectors(spark, sf_dir), DIMS, ["vec_id"], FEW_TREES)
+    return _united(
+        (name, models.kfold_auc(parts.filter("part = 'train'").drop("part"), ready.features, [propensity.KEY], model.trees))
+        for name, model, ready, parts in _both_models(spark, sf_dir)
+    )
 
 
 @query("full_coverage_scoring", """
@@ -378,7 +395,7 @@ SELECT vec_id, ('0x' || substr(md5(vec_id || '|1'), 1, 15))::BIGINT % 4 AS fold,
 FROM embeddings""")
 def full_coverage_scoring(spark, sf_dir):
     """Each row once, with the fold whose model hasn't seen it; that it has a probability stands for the score."""
-    scores = models.out_of_fold_scores(vectors(spark, sf_dir), DIMS, ["vec_id"], FEW_TREES)
+    scores = models.out_of_fold_scores(vectors(spark, sf_dir), DIMS, ["vec_id"], specs.CHURN_TREES)
     return scores.select("vec_id", "fold", "target", F.col("probability").between(0, 1).alias("scored"))
 
 
@@ -427,10 +444,12 @@ def correlation_with_missing(spark, sf_dir):
 
 @query("param_sweep")
 def param_sweep(spark, sf_dir):
-    parts = sampling.ratio_split(vectors(spark, sf_dir), vectors(spark, sf_dir), ["vec_id"])
-    return models.param_sweep(
-        parts.filter("part = 'train'"), parts.filter("part = 'test'"), DIMS, FEW_TREES,
-        "learning_rate", [0.01, 0.05, 0.1, 0.2, 0.3],
+    return _united(
+        (name, models.param_sweep(
+            parts.filter("part = 'train'"), parts.filter("part = 'test'"), ready.features, model.trees,
+            "learning_rate", [0.01, 0.05, 0.1, 0.2, 0.3],
+        ))
+        for name, model, ready, parts in _both_models(spark, sf_dir)
     )
 
 
@@ -442,9 +461,12 @@ def mlp_classifier(spark, sf_dir):
 
 @query("rank_importance")
 def rank_importance(spark, sf_dir):
-    rows = vectors(spark, sf_dir)
-    model = models.fit_boosted(rows, DIMS, FEW_TREES)
-    return evaluate.rank_importance(models.feature_importance(model, DIMS, rows))
+    return _united(
+        (name, evaluate.rank_importance(models.feature_importance(
+            models.fit_boosted(parts.filter("part = 'train'"), ready.features, model.trees), ready.features, ready.train
+        )))
+        for name, model, ready, parts in _both_models(spark, sf_dir)
+    )
 
 
 @query("positional_merge", with_(VECTORS) + """

@@ -179,12 +179,8 @@ def evaluate_model(
 
 def search(prepared: Prepared, spec: ModelSpec, grid: dict[str, list], folds: int = 3) -> ModelSpec:
     """The spec with the parameters that a cross-validated search prefers; names are those of BoostedTrees."""
-    names = {"max_depth": "maxDepth", "n_estimators": "maxIter", "learning_rate": "stepSize", "subsample": "subsamplingRate",
-             "min_rows_per_leaf": "minInstancesPerNode"}
-    found = models.grid_search(prepared.train, prepared.features, spec.trees, {names[k]: v for k, v in grid.items()}, folds)
-    best = found.getEstimatorParamMaps()[max(range(len(found.avgMetrics)), key=found.avgMetrics.__getitem__)]
-    chosen = {p.name: v for p, v in best.items()}
-    return replace(spec, trees=replace(spec.trees, **{k: chosen[v] for k, v in names.items() if v in chosen}))
+    found = models.search_trees(prepared.train, prepared.features, spec.trees, grid, folds)
+    return replace(spec, trees=max(found, key=lambda x: x[1])[0])
 
 
 def shortlist(prepared: Prepared, spec: ModelSpec, folds: int = 4, top: int | None = None) -> DataFrame:

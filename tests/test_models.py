@@ -139,3 +139,30 @@ def test_evaluation_holds_together(spark, sf_dir):
     keys = {r.company_new for r in rows.filter("target = 0").collect()}
     assert {r.company_new for r in got.false_positives.collect()} <= keys
     assert P.search(ready, few, {"max_depth": [1, 2]}, folds=2).trees.max_depth in (1, 2)
+
+
+def test_search_names_every_parameter(rows):
+    """Weights, column shares and gains can be searched too; each combination has its AUC."""
+    grid = {"positive_weight": [1.0, 3.0], "column_share": [0.5, 1.0], "min_gain": [0.0, 1e9]}
+    found = models.search_trees(rows, ["x", "y"], TREES, grid, folds=2)
+    assert len(found) == 8 and {f.min_gain for f, _ in found} == {0.0, 1e9}
+    assert all(auc == pytest.approx(0.5) if f.min_gain else auc > 0.8 for f, auc in found)
+
+
+@pytest.mark.parametrize("name", ["grid_search", "kfold_auc", "param_sweep", "rank_importance", "full_coverage_scoring"])
+def test_model_queries_fit_the_models_own_trees(spark, sf_dir, monkeypatch, name):
+    """Full numbers of trees are asked for; the fits themselves are cut short here."""
+    from dataclasses import replace
+
+    from cohortry.catalog import QUERIES
+
+    asked, build = set(), models.boosted_classifier
+
+    def short(spec, count=None):
+        asked.add(spec.n_estimators)
+        return build(replace(spec, n_estimators=1), count)
+
+    monkeypatch.setattr(models, "boosted_classifier", short)
+    got = QUERIES[name](spark, sf_dir)
+    assert asked == ({100} if name == "full_coverage_scoring" else {100, 110})
+    assert name == "full_coverage_scoring" or {r.model for r in got.collect()} == {"churn", "upsell"}
