@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortry.functions.scale import fresh_folder
 from cohortry.llm import (
-    license_scan, near_duplicates, packing, pieces, quality_classifier, quality_rules, sharding, token_store,
+    license_scan, near_duplicates, packing, pieces, quality_classifier, quality_rules, scoring, sharding, token_store,
     url_filter, vector_dedup,
 )
 
@@ -261,3 +261,8 @@ FROM shares s LEFT JOIN chosen c ON s.lang IS NOT DISTINCT FROM c.lang AND s.sou
 @query("op10_quality_rules", _rules_sql())
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
+
+
+@query("op12_lm_score")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.scored(table(spark, sf_dir, "documents"), scoring.ScoreSpec(piece_bpe()))

@@ -19,6 +19,7 @@ COLUMNS = {
     "op8_sentencepiece": "doc_id n_tokens ids_crc32 restored differences",
     "op9_token_store": "doc_id start n_tokens ids_crc32",
     "op10_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    "op12_lm_score": "doc_id held_out n_tokens n_known train_tokens base_score score",
 }
 
 
@@ -34,7 +35,7 @@ def test_names():
 @pytest.mark.parametrize("name", COLUMNS)
 def test_empty_tables(spark, sf_dir, tmp_path, name):
     """No rows give no rows, with the same columns."""
-    for table in ("documents", "embeddings", "pages", "labels"):
+    for table in ("documents", "embeddings", "pages", "labels", "conversations"):
         queries.table(spark, sf_dir, table).limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
     got = queries.QUERIES[name](spark, str(tmp_path))
     assert got.columns[:len(COLUMNS[name].split())] == COLUMNS[name].split() and got.count() == 0
