@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from cohortry.functions.scale import fresh_folder
 from cohortry.llm import (
-    license_scan, near_duplicates, packing, pieces, quality_classifier, quality_rules, scoring, sharding, token_store,
-    url_filter, vector_dedup,
+    collocations, license_scan, near_duplicates, packing, pieces, prefix_trie, quality_classifier, quality_rules, scoring,
+    sharding, token_store, url_filter, vector_dedup,
 )
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -263,6 +263,90 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
 
+@query("op11_collocations", rf"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS p, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), '{url_filter.UPPER}', '{url_filter.LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+  )
+),
+words AS (SELECT lang, p, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM pieces),
+runs AS (
+  SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4
+  FROM words WINDOW o AS (PARTITION BY p ORDER BY i)
+),
+grams AS (
+  SELECT lang, 1 AS m, w1 AS g FROM runs
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM runs WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM runs WHERE w3 IS NOT NULL
+  UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM runs WHERE w4 IS NOT NULL
+),
+f AS (SELECT lang, m, g, count(*) AS a FROM grams GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+found AS (SELECT *, string_split(g, ' ') AS w FROM f WHERE m >= 2 AND a >= 30),
+cuts AS (
+  SELECT c.lang, c.m, c.g, c.a, c.k, l.a AS l, r.a AS r, CAST(CAST(2000000 AS HUGEINT) * c.a // (l.a + r.a) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM found) c
+  JOIN f l ON l.lang = c.lang AND l.m = c.k AND l.g = array_to_string(list_slice(c.w, 1, c.k), ' ')
+  JOIN f r ON r.lang = c.lang AND r.m = c.m - c.k AND r.g = array_to_string(list_slice(c.w, c.k + 1, c.m), ' ')
+),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, m, g ORDER BY score, k) = 1),
+around AS (
+  SELECT lang, k AS m, array_to_string(list_slice(w, s, s + k - 1), ' ') AS g, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, m - k + 2)) AS s FROM (SELECT *, unnest(range(2, m)) AS k FROM found)) GROUP BY ALL
+),
+ranked AS (
+  SELECT best.*, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, best.g) AS rank
+  FROM best LEFT JOIN around USING (lang, m, g) WHERE longer IS NULL OR 100 * longer < 80 * a
+)
+SELECT lang, rank, g AS phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query("op12_lm_score")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.scored(table(spark, sf_dir, "documents"), scoring.ScoreSpec(piece_bpe()))
+
+
+@query("op13_prefix_trie", """
+WITH turns AS (
+  SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) || strlen(coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (SELECT conv_id, list(t ORDER BY turn NULLS FIRST, t) AS turns FROM turns GROUP BY conv_id),
+started AS (
+  SELECT *, xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+      string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]
+    ))),
+    lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) ELSE xor(x >> 1, 3988292384 * (x & 1)) END
+  )) % 9 AS h
+  FROM own
+),
+built AS (
+  SELECT c.conv_id, list_concat(coalesce(list_slice(b.turns, 1, c.h), []), list_slice(c.turns, c.h + 1, len(c.turns))) AS s
+  FROM started c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5
+),
+nodes AS (
+  SELECT list_slice(s, 1, d) AS p, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs
+  FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM built) GROUP BY ALL
+),
+children AS (SELECT list_slice(p, 1, depth - 1) AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+each AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children,
+         CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * CAST(substr(p[depth], 33) AS BIGINT) END AS saved
+  FROM nodes LEFT JOIN children USING (p)
+),
+sums AS (
+  SELECT list_slice(p, 1, d) AS p, CAST(sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM each) GROUP BY ALL
+),
+ends AS (SELECT s AS p, string_agg(conv_id, ',' ORDER BY conv_id) AS ids FROM built GROUP BY s)
+SELECT each.conv_id, each.depth, up.conv_id AS parent_conv_id, each.n_convs, each.n_children, n_leaves, saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM each JOIN sums USING (p) LEFT JOIN ends USING (p)
+LEFT JOIN nodes up ON each.depth > 0 AND up.p = list_slice(each.p, 1, each.depth - 1)""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))

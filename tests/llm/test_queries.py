@@ -19,7 +19,9 @@ COLUMNS = {
     "op8_sentencepiece": "doc_id n_tokens ids_crc32 restored differences",
     "op9_token_store": "doc_id start n_tokens ids_crc32",
     "op10_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    "op11_collocations": "lang rank phrase a l r n score",
     "op12_lm_score": "doc_id held_out n_tokens n_known train_tokens base_score score",
+    "op13_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
 }
 
 
