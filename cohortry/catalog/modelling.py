@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -84,40 +83,53 @@ scored AS (SELECT *, (probability >= 0.5)::BIGINT AS predicted FROM scores)"""
 
 # -- labelled sets --------------------------------------------------------------------
 
-# Parts of the panel that don't depend on the window, and so serve both products.
-_BOTH = ("months", "plans", "spine", "hist")
-# Medians of all earlier amounts, which no compared column needs.
-_UNUSED = re.compile(r"median\(cents\) FILTER \(role = '\w+'\) / 100 AS")
-
-
-def _training_ctes() -> list[str]:
-    """Both panels in one statement: the trailing one under its own names."""
-    plain = [*P.panel_ctes(), P.accumulated_cte()]
-    trailing = [*P.panel_ctes(trailing=True), P.accumulated_cte(trailing=True)]
-    shared = len([*P.panel_ctes()]) - 2
-    renamed = []
-    for whole in trailing[shared:]:
-        for part in re.split(r",\n(?=\w+ AS \()", whole.strip()):
-            if part.split(" AS (")[0] in _BOTH:
-                continue
-            for name in ("win", "chcount", "chan", "monthly", "mstats", "panel", "flagged", "behaviour"):
-                part = _rename(part, name)
-            renamed.append("\n" + part)
-    return [_UNUSED.sub("NULL::DOUBLE AS", part) for part in plain + renamed]
-
-
-def _rename(sql: str, name: str) -> str:
-    return re.sub(rf"(?<![\w.']){name}(?![\w'(])", f"t_{name}", sql)
-
-
-LABEL_ROWS = """
+_AT = "CAST(make_date(((s.m + 1) // 12)::INT, ((s.m + 1) % 12 + 1)::INT, 1) AS TIMESTAMP)"
+_B2G = specs.CHANNEL_FLAGS["b2g"]
+
+LABEL_INPUTS = [B.TX, B.EVENTS, B.REGISTRY, B.PREPARED, *C.lifecycle_ctes("ev", "reg"), B.roles("ctx")]
+
+# The compared columns of both panels, whose rows are the same: of a row's own month, and of its trailing three.
+LABEL_ROWS = f"""
+months AS (SELECT DISTINCT p AS m FROM ctx),
+spine AS (
+  SELECT company, m, ids.xin_value AS party FROM (SELECT company, min(p) AS first FROM ev GROUP BY company) f
+  JOIN months ON first <= m LEFT JOIN ids ON ids.company_id = company WHERE company IN (SELECT company FROM cohort)),
+own AS (
+  SELECT party, p, count(*) FILTER (plan = 0) AS plan_0, count(*) FILTER (plan = 1) AS plan_1, count(*) FILTER (plan = 2) AS plan_2,
+    count(*) FILTER (role = 'sent') AS sent, max(cents) FILTER (role = 'sent') / 100.0 AS top
+  FROM roles GROUP BY ALL),
+latest AS (
+  SELECT party, m, sum(plan_1)::BIGINT AS plan_1, sum(plan_2)::BIGINT AS plan_2, sum(sent)::BIGINT AS sent, max(top) AS top,
+    median(sent) FILTER (sent > 0) AS med
+  FROM own JOIN months ON p <= m AND p > m - 3 GROUP BY ALL),
+channels AS (SELECT party, role, p, channel, count(*) AS n FROM roles WHERE channel IS NOT NULL GROUP BY ALL),
+chan AS (
+  SELECT party, m, role, channel
+  FROM (SELECT party, m, role, channel, sum(n) AS n FROM channels JOIN months ON p <= m AND p > m - 3 GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY party, m, role ORDER BY n DESC, channel) = 1),
+b2g AS (SELECT party, m, count(*) AS flag FROM chan WHERE channel = '{_B2G}' GROUP BY ALL),
+met AS (
+  SELECT party, partner, 1 AS half, min(p) AS p FROM roles WHERE role = 'sent' AND is_sent AND partner IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT party, partner, 2, min(p) FROM roles WHERE role = 'sent' AND is_rec AND partner IS NOT NULL GROUP BY ALL),
+receivers AS (SELECT party, m, count(*) AS n FROM met JOIN months ON p <= m GROUP BY ALL),
+listed AS (SELECT party, min(p) AS p FROM roles WHERE (role = 'sent' AND is_sent) OR (role = 'rec' AND is_rec) GROUP BY party),
+label_rows AS (
+  SELECT s.company, s.party AS xin_value, strftime({_AT} - INTERVAL 1 DAY, '%Y%m') AS timestamp_ym,
+    CASE WHEN l.p <= s.m THEN coalesce(r.n, 0) ELSE 0 END AS num_receivers,
+    coalesce(t.plan_1, 0) AS plan_1, coalesce(t.plan_2, 0) AS plan_2, coalesce(t.sent, 0) AS trans_sum_sent, coalesce(t.med, 0) AS med,
+    coalesce(t.top, 0) AS top, coalesce(g.flag, 0) AS flag, coalesce(o.plan_0, 0) AS own_0, coalesce(o.plan_1, 0) AS own_1,
+    coalesce(o.plan_2, 0) AS own_2, coalesce(o.sent, 0) AS own_sent, ma.active_prem,
+    {B.day_diff(_AT, 'alta_basic')} AS days_since_alta_basic, {B.day_diff(_AT, 'alta_premium')} AS days_since_alta_premium,
+    {B.day_diff(_AT, 'ended')} AS days_since_baixa_prem
+  FROM spine s LEFT JOIN listed l ON l.party = s.party LEFT JOIN receivers r ON r.party = s.party AND r.m = s.m
+  LEFT JOIN latest t ON t.party = s.party AND t.m = s.m LEFT JOIN own o ON o.party = s.party AND o.p = s.m
+  LEFT JOIN b2g g ON g.party = s.party AND g.m = s.m
+  LEFT JOIN master ma ON ma.company = s.company LEFT JOIN churn c ON c.company = s.company),
 joined AS (
-  SELECT t.*, m.days_until_premium, m.days_until_invoice, m.days_until_client, m.number_clients, m.active_prem
-  FROM t_behaviour t LEFT JOIN master m USING (company))"""
-
-ACCUMULATED = """
-LEFT JOIN behaviour b ON b.company = x.company AND b.timestamp_ym = x.timestamp_ym
-  AND b.xin_value IS NOT DISTINCT FROM x.xin_value"""
+  SELECT *, (sum(own_0) {P.OVER})::BIGINT AS acum_0, (sum(own_1) {P.OVER})::BIGINT AS acum_1, (sum(own_2) {P.OVER})::BIGINT AS acum_2,
+    (sum(own_sent) {P.OVER})::BIGINT AS sum_trans_sent, round(median(med) {P.OVER}, 6) AS med_trans_sent_m,
+    max(top) {P.OVER} AS max_import_sent, (sum(flag) {P.OVER})::BIGINT AS b2g_acum
+  FROM label_rows)"""
 
 LAST = """(row_number() OVER (PARTITION BY company ORDER BY timestamp_ym DESC, coalesce(xin_value, '') DESC) = 1)::BIGINT"""
 
@@ -156,12 +168,12 @@ def upsell_rows(spark, sf_dir):
     )
 
 
-@query("churn_training_set", with_(*_training_ctes(), CHURN_ROWS) + f"""
+@query("churn_training_set", with_(*LABEL_INPUTS, CHURN_ROWS) + f"""
 SELECT x.company, x.xin_value, x.timestamp_ym, x.company || '-' || x.timestamp_ym AS company_new, x.target,
   CASE WHEN x.days_since_alta_basic < 180 THEN 0 ELSE ceil(x.days_since_alta_basic / 365.0) END AS ant,
-  x.plan_1 + x.plan_2 AS plan_1, b.acum_0, b.acum_1 + b.acum_2 AS acum_1, b.sum_trans_sent,
+  x.plan_1 + x.plan_2 AS plan_1, x.acum_0, x.acum_1 + x.acum_2 AS acum_1, x.sum_trans_sent,
   {', '.join('x.' + c.strip() for c in CHECKED.split(','))}
-FROM labelled x {ACCUMULATED}""", ("ant", "acum_0", "acum_1", "sum_trans_sent"))
+FROM labelled x""", ("ant", "acum_0", "acum_1", "sum_trans_sent"))
 def churn_training_set(spark, sf_dir):
     return churn_rows(spark, sf_dir).select(
         "company", "xin_value", "timestamp_ym", "company_new", "target", "ant", "plan_1", "acum_0",
@@ -169,10 +181,10 @@ def churn_training_set(spark, sf_dir):
     )
 
 
-@query("upsell_training_set", with_(*_training_ctes(), UPSELL_ROWS) + f"""
+@query("upsell_training_set", with_(*LABEL_INPUTS, UPSELL_ROWS) + f"""
 SELECT x.company, x.xin_value, x.timestamp_ym, x.company || '-' || x.timestamp_ym AS company_new, x.target,
-  b.acum_0, b.acum_1, b.sum_trans_sent, {', '.join('x.' + c.strip() for c in CHECKED.split(','))}
-FROM labelled x {ACCUMULATED}""", ("acum_0", "acum_1", "sum_trans_sent"))
+  x.acum_0, x.acum_1, x.sum_trans_sent, {', '.join('x.' + c.strip() for c in CHECKED.split(','))}
+FROM labelled x""", ("acum_0", "acum_1", "sum_trans_sent"))
 def upsell_training_set(spark, sf_dir):
     return upsell_rows(spark, sf_dir).select(
         "company", "xin_value", "timestamp_ym", "company_new", "target", "acum_0", "acum_1",
