@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.tokens import byte_level, in_groups
+from cohortry.llm.tokens import byte_level, encoded
 
 
 @dataclass(frozen=True)
@@ -150,8 +150,7 @@ def _pack_partition(spec: PackSpec):
             waiting.clear()
 
         for batch in batches:
-            encoded = (x for ids, texts in in_groups(batch) for x in zip(ids, encoder.batch(texts), strict=True))
-            for doc_id, ids in encoded:
+            for doc_id, ids in encoded(batch, encoder):
                 ids = np.append(ids, np.uint32(spec.end_id)).astype("<u4")
                 whole = len(ids) // spec.window * spec.window
                 for at in range(0, whole, spec.window):
