@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.functions.scale import drawn
-from cohortry.llm.tokens import byte_level, in_groups
+from cohortry.llm.tokens import byte_level, encoded
 
 
 @dataclass(frozen=True)
@@ -61,16 +61,16 @@ BLOCK_COLUMNS = (
 )
 
 
-def serialized(texts: list[str | None], spec: StoreSpec) -> list[bytes]:
-    end = np.uint32(spec.end_id)
-    return [np.append(ids, end).astype("<u4").tobytes() for ids in byte_level(spec.tokenizer).batch(texts)]
+def serialized(ids: np.ndarray, spec: StoreSpec) -> bytes:
+    return np.append(ids, np.uint32(spec.end_id)).astype("<u4").tobytes()
 
 
 def train_dictionary(docs: DataFrame, spec: StoreSpec) -> bytes:
     """A raw dictionary from a bounded sample in hash order; too few rows give an empty one."""
     sample = drawn(docs, ["doc_id", F.xxhash64("text")], 9, spec.sample, docs.count())
     rows = sample.select(F.substring("text", 1, spec.sample_bytes).alias("text")).collect()
-    pieces = [x[:spec.sample_bytes] for x in serialized([r.text for r in rows], spec)]
+    ids = byte_level(spec.tokenizer).batch([r.text for r in rows])
+    pieces = [serialized(x, spec)[:spec.sample_bytes] for x in ids]
     try:
         return zstandard.train_dictionary(spec.dictionary_bytes, pieces).as_bytes() if len(pieces) >= 16 else b""
     except zstandard.ZstdError:
@@ -103,8 +103,8 @@ def _write_blocks(spec: StoreSpec, raw: bytes):
             return out
 
         for batch in batches:
-            bodies = (x for known, texts in in_groups(batch) for x in zip(known, serialized(texts, spec), strict=True))
-            for doc_id, body in bodies:
+            for doc_id, found in encoded(batch, byte_level(spec.tokenizer)):
+                body = serialized(found, spec)
                 ids.append(doc_id)
                 sizes.append(len(body) // 4)
                 data += pack.compress(body)
