@@ -235,8 +235,8 @@ def build(spark, sf_dir, spec=specs.RFM_SNAPSHOTS):
     return features.build_tables(C.prepared(spark, sf_dir), spec)
 
 
-def raw_panel(spark, sf_dir, spec):
-    p = C.prepared(spark, sf_dir)
+def raw_panel(spark, sf_dir, spec, p=None):
+    p = p or C.prepared(spark, sf_dir)
     companies = lifecycle.company_master(p.events, p.registry)
     churn = lifecycle.churn_premium(p.events)
     return panel.feature_panel(p.tx, p.events, p.ids, companies, churn, spec).drop("snapshot")
@@ -332,31 +332,25 @@ def monthly_totals(spark, sf_dir):
 @query("expanding_median", MONTHLY + f"""
 SELECT company, timestamp_ym, median(n) {SIMPLE_OVER} AS med_n, median(total) {SIMPLE_OVER} AS med_total FROM monthly""")
 def expanding_median(spark, sf_dir):
-    order = ("timestamp_ym",)
-    return monthly_totals(spark, sf_dir).select(
-        "company", "timestamp_ym", running.running_median("n", "med_n", order),
-        running.running_median("total", "med_total", order),
-    )
+    medians = {"med_n": "n", "med_total": "total"}
+    rows = running.accumulated(monthly_totals(spark, sf_dir), ("timestamp_ym",), medians, {}, {})
+    return rows.select("company", "timestamp_ym", *medians)
 
 
 @query("running_sums", MONTHLY + f"""
 SELECT company, timestamp_ym, (sum(n) {SIMPLE_OVER})::BIGINT AS sum_n, (sum(total) {SIMPLE_OVER})::BIGINT AS sum_total FROM monthly""")
 def running_sums(spark, sf_dir):
-    order = ("timestamp_ym",)
-    return monthly_totals(spark, sf_dir).select(
-        "company", "timestamp_ym", running.running_sum("n", "sum_n", order),
-        running.running_sum("total", "sum_total", order),
-    )
+    sums = {"sum_n": "n", "sum_total": "total"}
+    rows = running.accumulated(monthly_totals(spark, sf_dir), ("timestamp_ym",), {}, sums, {})
+    return rows.select("company", "timestamp_ym", *sums)
 
 
 @query("running_maxes", MONTHLY + f"""
 SELECT company, timestamp_ym, max(n) {SIMPLE_OVER} AS max_n, max(top) {SIMPLE_OVER} AS max_top FROM monthly""")
 def running_maxes(spark, sf_dir):
-    order = ("timestamp_ym",)
-    return monthly_totals(spark, sf_dir).select(
-        "company", "timestamp_ym", running.running_max("n", "max_n", order),
-        running.running_max("top", "max_top", order),
-    )
+    maxes = {"max_n": "n", "max_top": "top"}
+    rows = running.accumulated(monthly_totals(spark, sf_dir), ("timestamp_ym",), {}, {}, maxes)
+    return rows.select("company", "timestamp_ym", *maxes)
 
 
 @query("channel_onehot", panel_sql() + """
@@ -377,12 +371,14 @@ def channel_onehot(spark, sf_dir):
 
 @query("panel_accumulate", behaviour_sql() + "SELECT * FROM behaviour", MISSING)
 def panel_accumulate(spark, sf_dir):
-    return running.panel_accumulate(raw_panel(spark, sf_dir, specs.RFM_SNAPSHOTS))
+    p = C.prepared(spark, sf_dir)
+    return running.panel_accumulate(raw_panel(spark, sf_dir, specs.RFM_SNAPSHOTS, p), specs.RFM_SNAPSHOTS, ids=p.ids)
 
 
 @query("panel_accumulate_trailing", behaviour_sql(trailing=True) + "SELECT * FROM behaviour", MISSING)
 def panel_accumulate_trailing(spark, sf_dir):
-    return running.panel_accumulate(raw_panel(spark, sf_dir, TRAILING), TRAILING)
+    p = C.prepared(spark, sf_dir)
+    return running.panel_accumulate(raw_panel(spark, sf_dir, TRAILING, p), TRAILING, ids=p.ids)
 
 
 @query("last_row_per_company", MONTHLY + """
@@ -530,3 +526,23 @@ def date_limited_inputs(spark, sf_dir):
     return line("events", p.events, "event_id").unionByName(
         line("transactions", p.tx, party.cents())
     ).unionByName(line("registry", p.registry, "company_id"))
+
+
+def limited_panel_ctes() -> list[str]:
+    """The trailing panel's, over inputs that all four date bounds limit."""
+    started = f"""
+ev_from AS (SELECT * FROM ev_all WHERE strftime(ts, '%Y%m') >= '{LIMITED.lifecycle_from}')"""
+    bounds = {
+        "ev_all WHERE action": "ev_from WHERE action",
+        "ev_all WHERE company": f"ev_from WHERE strftime(ts, '%Y%m') < '{LIMITED.lifecycle_before}' AND company",
+        "tx WHERE": f"tx WHERE ym < '{LIMITED.transactions_before}' AND",
+        "reg_new WHERE": f"reg_new WHERE date_last_updated < TIMESTAMP '{LIMITED.registry_before}' AND",
+    }
+    prepared = reduce(lambda sql, x: sql.replace(f"FROM {x[0]}", f"FROM {x[1]}"), bounds.items(), B.PREPARED)
+    return [prepared if part is B.PREPARED else part for part in panel_ctes(trailing=True)[:3] + [started] + panel_ctes(trailing=True)[3:]]
+
+
+@query("date_limited_panel", with_(*limited_panel_ctes()) + "SELECT * FROM panel", MISSING)
+def date_limited_panel(spark, sf_dir):
+    """The panel of the product that all four date bounds limit."""
+    return raw_panel(spark, sf_dir, LIMITED, features.prepare(B.raw(spark, sf_dir), LIMITED, tie="version"))

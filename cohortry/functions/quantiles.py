@@ -25,8 +25,9 @@ from cohortry.specs import HOT_ROWS
 # Octaves between the smallest step of a bucket range and its whole width.
 OCTAVES = 40
 
-# Up to this many groups (and the few buckets wanted of each) are broadcast.
-FEW_GROUPS = 1000
+# Up to this many groups (and the few buckets wanted of each) are broadcast; more
+# are joined by a shuffle on the group and one of SALTS shares of its rows.
+FEW_GROUPS, SALTS = 1000, 64
 
 Spread = Callable[[DataFrame], DataFrame]
 
@@ -36,22 +37,34 @@ def hot_groups(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
 
 
+def salted(rows: DataFrame) -> DataFrame:
+    """Deal the rows of each group out to SALTS shares, whatever their values."""
+    return rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+
+
+def to_salts(small: DataFrame) -> DataFrame:
+    """Each row once for every share."""
+    return small.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+
+
 @dataclass
 class Hot:
     """Groups too large for one task. Few of them, by count, are broadcast;
-    more are joined by a shuffle."""
+    more are joined by a shuffle that splits their rows."""
 
     groups: DataFrame
     few: bool
 
     def rest(self, rows: DataFrame, keys: list[str]) -> DataFrame:
-        return rows.join(self._sized(), keys, "left_anti")
+        return self._joined(rows, keys, "left_anti")
 
     def rows(self, rows: DataFrame, keys: list[str]) -> DataFrame:
-        return rows.join(self._sized(), keys, "left_semi")
+        return self._joined(rows, keys, "left_semi")
 
-    def _sized(self) -> DataFrame:
-        return F.broadcast(self.groups) if self.few else self.groups
+    def _joined(self, rows: DataFrame, keys: list[str], how: str) -> DataFrame:
+        if self.few:
+            return rows.join(F.broadcast(self.groups), keys, how)
+        return salted(rows).join(to_salts(self.groups), [*keys, "_salt"], how).drop("_salt")
 
 
 def checked(groups: DataFrame) -> Hot | None:
@@ -98,7 +111,7 @@ def narrowed_quantiles(
     base = [*keys, *([period] if period else [])]
     group = [*keys, *(["snapshot"] if spread else [])]
     spread = spread or (lambda df: df)
-    rows = materialized(rows.select(*base, F.col(value).cast("double").alias("_v")))
+    rows = materialized(salted(rows.select(*base, F.col(value).cast("double").alias("_v"))))
 
     first = materialized(rows.groupBy(*base).agg(
         F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
@@ -124,7 +137,8 @@ def narrowed_quantiles(
     )
 
     # At most two buckets per group, snapshot and quantile are looked into.
-    sized = F.broadcast if few else (lambda df: df)
+    sized = F.broadcast if few else to_salts
+    node = [*keys, "_node"] if few else [*keys, "_node", "_salt"]
     member = rows.withColumn("_node", F.lit(""))
     while True:
         share = (F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
@@ -134,7 +148,7 @@ def narrowed_quantiles(
             F.when(F.col("_v") >= F.col("_hi"), F.lit(buckets))
             .otherwise(F.least(F.floor(octave * buckets), F.lit(buckets - 1))),
         ).otherwise(F.lit(0)).cast("int")
-        member = member.join(sized(nodes), [*keys, "_node"]).withColumn("_b", bucket).drop("_lo", "_hi")
+        member = member.join(sized(nodes), node).withColumn("_b", bucket).drop("_lo", "_hi")
         counts = materialized(member.groupBy(*base, "_node", "_b").agg(
             F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
         ))
@@ -148,7 +162,7 @@ def narrowed_quantiles(
         largest = nodes.filter(F.col("_hi") > F.col("_lo")).agg(F.max("_n")).first()[0] or 0
         nodes = nodes.drop("_n")
         kept = member.withColumn("_node", path).drop("_b")
-        member = materialized(kept.join(sized(nodes.drop("_lo", "_hi")), [*keys, "_node"], "left_semi"))
+        member = materialized(kept.join(sized(nodes.drop("_lo", "_hi")), node, "left_semi"))
         if largest <= hot_rows:
             break
 

@@ -8,6 +8,9 @@ from pyspark.sql import Window as W
 
 from cohortry import specs
 from cohortry.functions import aggregates as A
+from cohortry.functions.quantiles import checked, hot_groups
+from cohortry.functions.scale import materialized
+from cohortry.operators import sliced
 
 PANEL_ORDER = ("timestamp_ym", "xin_value")
 
@@ -65,20 +68,56 @@ def channel_onehot(panel: DataFrame) -> DataFrame:
     ).drop("channel_sent", "channel_rec")
 
 
-def panel_accumulate(panel: DataFrame, spec: specs.SnapshotSpec = specs.SnapshotSpec(), order=PANEL_ORDER) -> DataFrame:
-    """All running columns at once: they share one window specification, so
-    the panel is shuffled and sorted by company a single time."""
-    flagged = channel_onehot(panel)
-    medians = {**MEDIANS, **(TRAILING_MEDIANS if spec.trailing else {})}
-    maxes = TRAILING_MAXES if spec.trailing else MAXES
-    sums = {} if spec.trailing else dict(SUMS)
-    sums.update({f"{name}_acum": name for name in specs.CHANNEL_FLAGS})
-    return flagged.select(
+def accumulated(
+    rows: DataFrame, order: tuple[str, ...], medians: dict[str, str], sums: dict[str, str], maxes: dict[str, str],
+    running_rows: int | None = specs.RUNNING_ROWS,
+) -> DataFrame:
+    """rows with running columns (out -> value) of each company.
+
+    They share one window specification, so rows are shuffled and sorted by
+    company a single time. With running_rows the rows are stored and counted,
+    and companies above that number are cut into slices; `order` must not repeat
+    within them. Sums of fractions may then differ in the last digits, as they
+    are added up in another order.
+    """
+    plain = lambda df: df.select(
         "*",
         *[running_median(c, out, order) for out, c in medians.items()],
         *[running_sum(c, out, order) for out, c in sums.items()],
         *[running_max(c, out, order) for out, c in maxes.items()],
     )
+    if running_rows is None:
+        return plain(rows)
+    rows = materialized(rows)
+    hot = checked(hot_groups(rows.where("company IS NOT NULL"), ["company"], running_rows))
+    if hot is None:
+        return plain(rows)
+    cut = sliced.slices(hot.rows(rows, ["company"]), order, running_rows)
+    found = sliced.medians(sliced.scanned(cut, sums, maxes), medians, running_rows).drop("_slice", "_k")
+    cold = plain(hot.rest(rows, ["company"]))
+    return cold.unionByName(found.select(*[F.col(f.name).cast(f.dataType) for f in cold.schema]))
+
+
+#: More snapshots than a panel has; a company has one row for each and party id.
+MOST_SNAPSHOTS = 600
+
+
+def may_be_hot(ids: DataFrame, running_rows: int) -> bool:
+    """Whether any company has so many party ids that its panel rows could exceed the bound."""
+    return not hot_groups(ids, ["company_id"], running_rows // MOST_SNAPSHOTS).isEmpty()
+
+
+def panel_accumulate(
+    panel: DataFrame, spec: specs.SnapshotSpec = specs.SnapshotSpec(), order=PANEL_ORDER, ids: DataFrame | None = None,
+) -> DataFrame:
+    """All running columns of the panel at once. With ids (company_id, xin_value)
+    companies that own very many of them are looked for, and cut into slices."""
+    medians = {**MEDIANS, **(TRAILING_MEDIANS if spec.trailing else {})}
+    maxes = TRAILING_MAXES if spec.trailing else MAXES
+    sums = {} if spec.trailing else dict(SUMS)
+    sums.update({f"{name}_acum": name for name in specs.CHANNEL_FLAGS})
+    sized = spec.running_rows if ids is not None and may_be_hot(ids, spec.running_rows) else None
+    return accumulated(channel_onehot(panel), order, medians, sums, maxes, sized)
 
 
 PER_PERIOD = [

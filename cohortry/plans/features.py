@@ -114,7 +114,7 @@ def build_tables(prepared: Prepared, spec: SnapshotSpec = specs.RFM_SNAPSHOTS) -
         prepared.tx, prepared.events, prepared.ids, companies, churn, spec
     )
     return Tables(
-        behaviour=running.panel_accumulate(features.drop("snapshot"), spec),
+        behaviour=running.panel_accumulate(features.drop("snapshot"), spec, ids=prepared.ids),
         companies=companies,
         churn=churn,
         churn_basic=lifecycle.churn_basic(prepared.events),

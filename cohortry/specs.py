@@ -8,6 +8,10 @@ from dataclasses import dataclass, field
 # functions/quantiles.py for the path such groups take.
 HOT_ROWS = 2_000_000
 
+# A company with more snapshot rows than this is cut into slices of the order;
+# see operators/sliced.py. A growing median costs more the longer the frame is.
+RUNNING_ROWS = 20_000
+
 # Plan names and their ordinals.
 PLAN_ORDINALS = {"basic": 0, "professional": 1, "business": 2, "enterprise": 3}
 EXCLUDED_PLANS = ("enterprise", "aplicateca2", "aplicateca5")
@@ -117,6 +121,7 @@ class SnapshotSpec:
     yyyymm_arithmetic: bool = False
     senders_only: bool = False
     hot_rows: int = HOT_ROWS
+    running_rows: int = RUNNING_ROWS
 
     @property
     def trailing(self) -> bool:

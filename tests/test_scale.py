@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 
 import numpy as np
@@ -48,6 +49,23 @@ def test_quantiles_with_one_value_holding_a_third(spark):
     assert [got.a, got.b, got.c] == pytest.approx(np.quantile(values, [0.1, 0.5, 0.99]))
 
 
+def test_two_thousand_hot_groups_are_joined_by_shares(spark, monkeypatch):
+    """More hot groups than are broadcast: the same quantiles, and no join of rows on the group alone."""
+    from cohortry.functions import quantiles as Q
+
+    df = spark.range(60_000).selectExpr("CAST(id % 2500 AS INT) AS k", "CAST((id * 7919) % 1013 AS DOUBLE) AS v", "id").where("k < 2000 OR id < 10000")
+    probs = {"a": 0.25, "b": 0.5}
+    stored, plans = Q.materialized, []
+    monkeypatch.setattr(Q, "materialized", lambda x: plans.append(plan(x)) or stored(x))
+    hot = frame(quantiles(df, ["k"], "v", probs, hot_rows=20), "k")
+    assert hot.equals(frame(quantiles(df, ["k"], "v", probs), "k")[hot.columns])
+    assert not Q.checked(Q.hot_groups(df, ["k"], 20)).few
+    joins = [line for text in plans for line in text.splitlines() if "Join " in line]
+    assert sum("_salt" in line for line in joins) >= 3
+    # Only the asked ranks and the buckets' counts, not rows, meet on the group alone.
+    assert not [line for line in joins if re.search(r"Join \[k#\w+\], \[k#\w+\]", line) and "rank#" not in line]
+
+
 def test_nested_outliers_leave_no_large_bucket(spark, monkeypatch):
     """Ordinary values beside two that are far out, in the order of both: all narrowed below the bound."""
     from cohortry.functions import quantiles as Q
