@@ -4,7 +4,8 @@ The model file is read as it is: pieces with scores and kinds, the normaliser's
 settings and character map, the model's type. From these the tokenizer is
 rebuilt: normaliser, marker for spaces, unigram scores or merges in the order of
 the scores, byte fallback, decoder. Every new stretch of text that a worker
-encodes is also given to the sentencepiece library, and the ids are compared.
+encodes is also decoded, and given to the sentencepiece library, whose ids are
+compared; the ids returned are those of the rebuilt tokenizer.
 """
 
 from __future__ import annotations
@@ -116,14 +117,24 @@ def rebuilt(model: PieceModel):
 _TOGETHER = re.compile(f"[ {MARK}][ {MARK}]|^[ {MARK}]|[ {MARK}]$")
 
 
+class JudgedTable(PieceTable):
+    """Ids of stretches, with two marks for each: that the libraries differ on it, and that decoding gives it back."""
+
+    def _clear(self) -> None:
+        super()._clear()
+        self.differs, self.restored = np.empty(0, bool), np.empty(0, bool)
+
+    def mark(self, differs: list[bool], restored: list[bool]) -> None:
+        self.differs, self.restored = np.append(self.differs, differs), np.append(self.restored, restored)
+
+
 class Pieces:
     """Encodes and decodes by a model file, in batches on the library's threads.
 
     No piece has the marker after another character, so no token reaches across
-    a single space: stretches between single spaces are encoded once. Texts in
-    which spaces meet, or with a character map, are encoded whole. `apart`
-    counts stretches on which the sentencepiece library differs; then its ids
-    count, since it defines the model.
+    a single space: stretches between single spaces are encoded, decoded and
+    compared once. Texts in which spaces meet, or with a character map, are one
+    stretch. `apart` counts stretches on which the sentencepiece library differs.
     """
 
     def __init__(self, path: str, threads: int = 2) -> None:
@@ -138,35 +149,48 @@ class Pieces:
         self._threads = threads
         inner = any(MARK in p.lstrip(MARK) for p, _, kind in self.model.pieces if kind == NORMAL)
         self._split = not inner and not self.model.character_map and self.model.add_prefix and not self.model.squeeze
-        self._table = PieceTable(self._learn)
+        self._table = JudgedTable(self._learn)
         self.checked = self.apart = 0
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         """Without the check."""
         return [x.ids for x in self._library.encode_batch(texts, add_special_tokens=False)]
 
-    def _both(self, texts: list[str]) -> list[list[int]]:
+    def _judged(self, texts: list[str]) -> tuple[list[list[int]], list[bool], list[bool]]:
+        """Own ids, on which texts the other library differs, and which ones decoding gives back."""
         own, other = self.whole(texts), self._judge.encode(texts, num_threads=self._threads)
+        differs = [a != b for a, b in zip(own, other, strict=True)]
+        back = self._library.decode_batch(own, skip_special_tokens=False)
         self.checked += len(texts)
-        self.apart += sum(a != b for a, b in zip(own, other, strict=True))
-        return other
+        self.apart += sum(differs)
+        return own, differs, [a == b for a, b in zip(back, texts, strict=True)]
 
     def _learn(self, stretches: list[str]) -> tuple[list[int], list[int]]:
-        found = self._both(stretches)
+        found, differs, restored = self._judged(stretches)
+        self._table.mark(differs, restored)
         return [i for ids in found for i in ids], [len(ids) for ids in found]
 
     def batch(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each whole text; none for a null one."""
+        return [x[0] for x in self.judged(texts)]
+
+    def judged(self, texts: list[str | None]) -> list[tuple[np.ndarray, int, bool]]:
+        """Each text's ids, on how many of its stretches the libraries differ, and whether decoding gives it back."""
         stretches: list[str] = []
-        ends, apart = [], {}
+        ends, apart = [0], {}
         for i, text in enumerate(texts):
             if text and (not self._split or _TOGETHER.search(text)):
                 apart[i] = text
             elif text:
                 stretches += text.split(" ")
             ends.append(len(stretches))
-        found = self._table.ids(stretches, np.array(ends, np.int64))
-        for i, ids in zip(apart, self._both(list(apart.values())), strict=True):
-            found[i] = np.array(ids, np.uint32)
+        table = self._table
+        at, stops = table.places(stretches), np.array(ends, np.int64)
+        sums = [np.concatenate([[0], np.cumsum(marks[at])]) for marks in (table.differs, ~table.restored)]
+        differ, lost = (x[stops[1:]] - x[stops[:-1]] for x in sums)
+        found = [(ids, int(d), not n) for ids, d, n in zip(table.gathered(at, stops[1:]) if texts else [], differ, lost, strict=True)]
+        for i, ids, d, back in zip(apart, *self._judged(list(apart.values())), strict=True):
+            found[i] = np.array(ids, np.uint32), int(d), back
         return found
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
@@ -183,12 +207,10 @@ def _encode(path: str, threads: int):
         own = pieces(path, threads)
         for batch in batches:
             for ids, texts in in_groups(batch):
-                before = own.apart
-                found = own.batch(texts)
-                restored = [a == (b or "") for a, b in zip(own.decode(found), texts, strict=True)]
+                found = own.judged(texts)
                 yield pa.record_batch([
-                    pa.array(ids, pa.int64()), pa.array([x.astype("<u4").tobytes() for x in found], pa.binary()), pa.array(restored),
-                    pa.array([own.apart - before] + [0] * (len(ids) - 1), pa.int64()),
+                    pa.array(ids, pa.int64()), pa.array([x[0].astype("<u4").tobytes() for x in found], pa.binary()),
+                    pa.array([x[2] for x in found], pa.bool_()), pa.array([x[1] for x in found], pa.int64()),
                 ], names=["doc_id", "ids", "restored", "differences"])
 
     return run
@@ -197,9 +219,9 @@ def _encode(path: str, threads: int):
 def encode(docs: DataFrame, path: str, threads: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids, restored, differences) of every row.
 
-    ids are little-endian unsigned 32-bit numbers; restored says that decoding
-    gives the text back; differences counts stretches first met here on which
-    the two libraries disagree. A null or empty text has no ids and is
+    ids are the rebuilt tokenizer's, as little-endian unsigned 32-bit numbers;
+    restored says that decoding gives the text back; differences counts the
+    text's stretches on which the two libraries disagree. A null or empty text has no ids and is
     restored; a text that holds the marker character itself isn't. Repeated
     rows come back each; other columns aren't read; an empty table gives an
     empty result.
@@ -219,5 +241,9 @@ def _decode(path: str, threads: int):
 
 
 def decode(encoded: DataFrame, path: str, threads: int = 2) -> DataFrame:
-    """(doc_id, text) of rows (doc_id, ids)."""
+    """(doc_id, text) of rows (doc_id, ids), repeated ones each.
+
+    Null ids, or none, give an empty text; a null doc_id stays null. Other columns
+    aren't read; an empty table gives an empty result.
+    """
     return encoded.select("doc_id", "ids").mapInArrow(_decode(path, threads), "doc_id bigint, text string")
