@@ -3,11 +3,11 @@
 Measures of a text are whole numbers. A quantile sketch is the counts of their
 logarithmic buckets (32 for each power of two, so 3 % apart). Sketches merge by
 adding counts: those of sources give a language's, and those of languages the
-corpus's, which stand in where a group is too small to judge by itself. Fences
-lie beyond the median by a multiple of a spread: of that on its other side,
-which junk on this side doesn't widen, or with own_side of that on the fence's
-own side, which is wide where a measure is skewed. Texts outside a fence are not
-kept.
+corpus's. A group's quantiles are its own, drawn towards its language's as by a
+few documents more, and the language's towards the corpus's in the same way, so
+cutoffs change smoothly as a group grows. Fences lie beyond the median by a
+multiple of the distance to the outer quantile on the same side. Texts outside a
+fence are not kept.
 """
 
 from __future__ import annotations
@@ -36,14 +36,9 @@ class Fence:
     least: int
 
 
-#: Parts of a thousand, but for letters: a hundredth of a letter for each word.
+#: Parts of a thousand, but for letters: a hundredth of a letter for each word. The
+#: distances are so small that they decide only where nine tenths of a group are alike.
 FENCES = (
-    Fence("symbols", "high", 60), Fence("capitals", "high", 300), Fence("exclaimed", "high", 60),
-    Fence("doubled", "high", 500), Fence("repeated", "high", 300),
-    Fence("letters", "high", 400), Fence("letters", "low", 250),
-)
-#: For spreads of the fence's own side: distances so small that they decide only where nine tenths of a group are alike.
-SPREAD_FENCES = (
     Fence("symbols", "high", 10), Fence("capitals", "high", 5), Fence("exclaimed", "high", 5),
     Fence("doubled", "high", 50), Fence("repeated", "high", 50),
     Fence("letters", "high", 10), Fence("letters", "low", 10),
@@ -53,20 +48,16 @@ MEASURES = ("symbols", "capitals", "exclaimed", "doubled", "repeated", "letters"
 
 @dataclass(frozen=True)
 class RuleSpec:
-    """least_docs: rows that a group needs for fences of its own. spreads: how
-    many times the distance between the 10th (or 90th) percentile and the
-    median a fence lies beyond it; own_side: whether the percentile is the one on
-    the fence's side. Base rules: least_words, most_repeated in percent."""
+    """borrowed: documents that a group's quantiles are drawn by towards those of
+    the level above. spreads: how many times the distance between the median and
+    the 90th (or 10th) percentile a fence lies beyond the median. Base rules:
+    least_words, most_repeated in percent."""
 
-    least_docs: int = 200
+    borrowed: int = 20
     spreads: int = 4
     least_words: int = 20
     most_repeated: int = 30
     fences: tuple[Fence, ...] = FENCES
-    own_side: bool = False
-
-
-SPREAD_RULES = RuleSpec(fences=SPREAD_FENCES, own_side=True)
 
 
 def let(value: Column, body) -> Column:
@@ -155,23 +146,26 @@ def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
     return ranked.groupBy(*keys).agg(F.max("docs").alias("docs"), *[at(q, m).alias(f"p{q}_{m}") for m in MEASURES for q in (10, 50, 90)])
 
 
-def _side(frame: DataFrame, prefix: str, keys: list[str]) -> DataFrame:
-    return frame.select(*[F.col(c).alias(f"{prefix}_{c}") for c in frame.columns])
+def drawn_to(own: Column, docs: Column, above: Column, spec: RuleSpec) -> Column:
+    """A quantile of so many documents, as if `borrowed` more lay at the one above."""
+    return F.call_function("div", own * docs + above * spec.borrowed, docs + spec.borrowed)
 
 
 def cutoffs(sketch: DataFrame, spec: RuleSpec) -> DataFrame:
-    """(lang, source, one column for each fence); a small group takes its language's, else the corpus's."""
+    """(lang, source, one column for each fence)."""
     names = [f"p{q}_{m}" for m in MEASURES for q in (10, 50, 90)]
     own = quantiles(sketch, ["lang", "source"])
-    of_lang = quantiles(sketch, ["lang"]).select(F.col("lang").alias("l_lang"), F.col("docs").alias("l_docs"), *[F.col(n).alias(f"l_{n}") for n in names])
     of_all = quantiles(sketch, []).first()  # one row
+    of_lang = quantiles(sketch, ["lang"])
+    of_lang = of_lang.select(F.col("lang").alias("l_lang"), *[
+        drawn_to(F.col(n), F.col("docs"), F.lit(of_all[n]).cast("bigint"), spec).alias(f"l_{n}") for n in names
+    ])
     joined = own.join(of_lang, F.col("lang").eqNullSafe(F.col("l_lang")))
-    pick = lambda n: F.when(F.col("docs") >= spec.least_docs, F.col(n)).when(F.col("l_docs") >= spec.least_docs, F.col(f"l_{n}")).otherwise(F.lit(of_all[n]).cast("bigint"))
-    chosen = joined.select("lang", "source", *[pick(n).alias(n) for n in names])
+    chosen = joined.select("lang", "source", *[drawn_to(F.col(n), F.col("docs"), F.col(f"l_{n}"), spec).alias(n) for n in names])
     fences = []
     for f in spec.fences:
         mid, low, high = (F.col(f"p{q}_{f.measure}") for q in (50, 10, 90))
-        spread = high - mid if (f.side == "high") == spec.own_side else mid - low
+        spread = high - mid if f.side == "high" else mid - low
         reach = F.greatest(F.lit(f.least), spec.spreads * spread)
         fences.append((mid + reach if f.side == "high" else mid - reach).alias(f"{f.side}_{f.measure}"))
     return chosen.select("lang", "source", *fences)

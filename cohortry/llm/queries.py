@@ -197,12 +197,12 @@ def _rules_sql() -> str:
   CASE WHEN bucket < 32 THEN bucket ELSE (bucket % 32 + 32) * CAST(pow(2, bucket // 32 - 1) AS BIGINT) END AS least FROM {name}_sum),
 {name}_q AS (SELECT {cols}max(docs) AS docs, {at} FROM {name}_rank {'GROUP BY ' + keys if keys else ''})"""
 
-    picked = ", ".join(
-        f"CASE WHEN o.docs >= {spec.least_docs} THEN o.{n} WHEN l.docs >= {spec.least_docs} THEN l.{n} ELSE a.{n} END AS {n}" for n in names
-    )
+    k = spec.borrowed
+    of_lang = ", ".join(f"(l.{n} * l.docs + a.{n} * {k}) // (l.docs + {k}) AS {n}" for n in names)
+    picked = ", ".join(f"CAST((o.{n} * o.docs + l.{n} * {k}) // (o.docs + {k}) AS BIGINT) AS {n}" for n in names)
     inside = " AND ".join(
-        f"{f.measure} <= p50_{f.measure} + greatest({f.least}, {spec.spreads} * (p50_{f.measure} - p10_{f.measure}))" if f.side == "high"
-        else f"{f.measure} >= p50_{f.measure} - greatest({f.least}, {spec.spreads} * (p90_{f.measure} - p50_{f.measure}))"
+        f"{f.measure} <= p50_{f.measure} + greatest({f.least}, {spec.spreads} * (p90_{f.measure} - p50_{f.measure}))" if f.side == "high"
+        else f"{f.measure} >= p50_{f.measure} - greatest({f.least}, {spec.spreads} * (p50_{f.measure} - p10_{f.measure}))"
         for f in quality_rules.FENCES
     )
     word = r"[^\x20\x09-\x0D]+"
@@ -250,9 +250,8 @@ sketch AS (
   ) GROUP BY ALL
 ),
 {level('own', 'lang, source')}, {level('of_lang', 'lang')}, {level('of_all', '')},
-chosen AS (
-  SELECT o.lang, o.source, {picked} FROM own_q o JOIN of_lang_q l ON o.lang IS NOT DISTINCT FROM l.lang, of_all_q a
-)
+drawn AS (SELECT l.lang, {of_lang} FROM of_lang_q l, of_all_q a),
+chosen AS (SELECT o.lang, o.source, {picked} FROM own_q o JOIN drawn l ON o.lang IS NOT DISTINCT FROM l.lang)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce({inside}, FALSE) AS kept, {', '.join('s.' + m for m in measures)}
 FROM shares s LEFT JOIN chosen c ON s.lang IS NOT DISTINCT FROM c.lang AND s.source IS NOT DISTINCT FROM c.source"""
@@ -344,7 +343,7 @@ sums AS (
   FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM each) GROUP BY ALL
 ),
 ends AS (SELECT s AS p, string_agg(conv_id, ',' ORDER BY conv_id) AS ids FROM built GROUP BY s)
-SELECT each.conv_id, each.depth, up.conv_id AS parent_conv_id, each.n_convs, each.n_children, n_leaves, saved_tokens,
+SELECT each.conv_id, each.depth, CAST(up.conv_id AS DOUBLE) AS parent_conv_id, each.n_convs, each.n_children, n_leaves, saved_tokens,
        sha256(coalesce(ids, '')) AS ends_sha256
 FROM each JOIN sums USING (p) LEFT JOIN ends USING (p)
 LEFT JOIN nodes up ON each.depth > 0 AND up.p = list_slice(each.p, 1, each.depth - 1)""")
