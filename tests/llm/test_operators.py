@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import random
 import re
+import struct
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -162,11 +164,53 @@ def test_vectors_equal_brute_force(spark):
     for _ in range(len(rows)):
         label = np.minimum(label, np.where(near, label[None, :], len(rows)).min(1))
     docs = spark.createDataFrame([(k, x.tolist(), "v") for k, x in enumerate(rows)], "vec_id bigint, embedding array<double>, weight string")
-    for spec in (vector_dedup.VectorSpec(), vector_dedup.VectorSpec(block=40, per_pivot=30, together=2)):
+    for spec in (vector_dedup.VectorSpec(), vector_dedup.VectorSpec(numbers=40 * 24, fewest=1, per_pivot=30)):
         got = {x.vec_id: (x.n_links, x.component_id, x.kept) for x in vector_dedup.near_vectors(docs, spec).collect()}
         assert got == {k: (int(want[k]), int(label[k]), bool(label[k] == k)) for k in range(len(rows))}
 
 
+def test_vectors_of_several_lengths(spark):
+    """Each length for itself: links, components and counts equal brute force, in one unit and in many."""
+    r = np.random.default_rng(8)
+    rows = [np.concatenate([c + 0.3 * r.normal(size=dim) for c in [base]]) for dim in (3, 4, 16) for base in r.normal(size=(9, dim)) for _ in range(12)]
+    rows += [np.array([1.0, 2.0, 3.0, 4.0])] * 4 + [np.array([1.0, 2.0, 3.0])] * 6 + [np.array([5.0])]
+    unit = [x / np.linalg.norm(x) for x in rows]
+    near = np.array([[len(a) == len(b) and a @ b >= 0.9 for b in unit] for a in unit])
+    np.fill_diagonal(near, False)
+    label = np.arange(len(rows))
+    for _ in range(len(rows)):
+        label = np.minimum(label, np.where(near, label[None, :], len(rows)).min(1))
+    docs = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(rows)], "vec_id bigint, embedding array<double>")
+    for spec in (vector_dedup.VectorSpec(), vector_dedup.VectorSpec(numbers=60, fewest=5, per_pivot=10)):
+        got = {x.vec_id: (x.n_links, x.component_id) for x in vector_dedup.near_vectors(docs.repartition(3), spec).collect()}
+        assert got == {k: (int(near[k].sum()), int(label[k])) for k in range(len(rows))}
+
+
+def test_clustered_vectors_are_copied_few_times():
+    """The number of copies doesn't grow with the number of units where cells are apart."""
+    r = np.random.default_rng(9)
+
+    def copies(clusters):
+        centres = r.normal(size=(clusters, 64))
+        rows = np.repeat(centres, 60, 0) + 0.1 * r.normal(size=(60 * clusters, 64))
+        unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+        pivots = vector_dedup.Pivots({64: 0}, {64: unit[::60]})
+        near = unit @ unit[::60].T
+        cell = near.argmax(axis=1)
+        far = np.sqrt(np.maximum(2 - 2 * near.max(axis=1), 0))
+        low, high = (np.array([f(far[cell == c]) for c in range(clusters)]) for f in (np.min, np.max))
+        shells = vector_dedup.Shells(low, high, 0.2 ** 0.5)
+        spec = vector_dedup.VectorSpec(numbers=120 * 64)
+        units = vector_dedup.units_of(pivots, np.bincount(cell, minlength=clusters), spec)
+        met = np.zeros((clusters, clusters), bool)
+        batch = pa.record_batch([pa.array(range(len(rows))), pa.array([1] * len(rows)), pa.array(list(rows)), pa.array(cell, pa.int32()), pa.array(far), pa.array([0] * len(rows))], names=list("abcdef"))
+        for x in vector_dedup._meetings(pivots, shells)(iter([batch])):
+            met[x.column(0).to_numpy(), x.column(1).to_numpy()] = True
+        return sum(x.num_rows for x in vector_dedup._visits(pivots, shells, units, met)(iter([batch]))) / len(rows)
+
+    assert copies(160) < 1.2 * copies(40) < 2.4
+
+
 def test_vector_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]), (7, [None, 1.0]), (8, [inf, 1.0]), (9, [1.0]), (None, [1.0, 0.0]), (2, [2.0, 0.0])]
@@ -217,7 +261,7 @@ def test_base_rules_equal_brute_force(spark):
 
 def test_each_fence_follows_the_spread_of_its_group(spark):
     """A value that the wide group keeps is rejected in the narrow one, by each fence alone; both groups have the same median."""
-    rules = quality_rules.SPREAD_RULES
+    rules = quality_rules.RuleSpec()
     rows = []
     for f in rules.fences:
         sign = 1 if f.side == "high" else -1
@@ -233,6 +277,19 @@ def test_each_fence_follows_the_spread_of_its_group(spark):
         assert f.least <= narrow < 100 + f.least < 300 < wide, (name, narrow, wide)
 
 
+def test_cutoffs_change_smoothly_with_the_rows_of_a_group(spark):
+    """A small group's cutoff lies near its language's and goes to its own without a jump."""
+    def cutoff(n):
+        rows = [("en", "small", 40 * (k % 10)) for k in range(n)] + [("en", "large", k % 10) for k in range(3000)] + [("de", "other", 5)] * 500
+        table = spark.createDataFrame(rows, "lang string, source string, v bigint").select("lang", "source", *[F.col("v").alias(m) for m in quality_rules.MEASURES])
+        limits = quality_rules.cutoffs(quality_rules.sketches(table), quality_rules.RuleSpec()).where("source = 'small'").first()
+        return limits.high_symbols
+
+    found = [cutoff(n) for n in (1, 10, 20, 40, 80, 160, 320)]
+    assert found == sorted(found) and found[0] < 150 and found[-1] > 600
+    assert max(b - a for a, b in zip(found, found[1:])) < 0.4 * (found[-1] - found[0])
+
+
 def test_repeated_passages_below_the_base_rule_are_rejected(spark):
     r = random.Random(5)
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
@@ -240,7 +297,7 @@ def test_repeated_passages_below_the_base_rule_are_rejected(spark):
     twice = [word() for _ in range(12)]
     odd = " ".join(twice + [word() for _ in range(60)] + twice + [word() for _ in range(20)])
     docs = spark.createDataFrame([(k, t, "en", "s") for k, t in enumerate([*texts, odd])], "doc_id int, text string, lang string, source string")
-    got = {x.doc_id: x for x in quality_rules.judged(docs, quality_rules.SPREAD_RULES).collect()}
+    got = {x.doc_id: x for x in quality_rules.judged(docs, quality_rules.RuleSpec()).collect()}
     assert not got[300].base_failed and got[300].repeated > 200 and not got[300].kept
     assert sum(x.kept for x in got.values()) > 250
 
@@ -279,6 +336,65 @@ def test_pieces_are_sentencepieces(parts):
         assert own.decode(ids) == [text]
 
 
+def model_file(path, pieces_, kind, character_map=b"", fallback=True, prefix=True, squeeze=False):
+    """A model file with given pieces (text, score, kind), written field by field."""
+    def number(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    def field(k, value):
+        if isinstance(value, bytes):
+            return number(k << 3 | 2) + number(len(value)) + value
+        return number(k << 3) + number(int(value))
+
+    body = b"".join(
+        field(1, field(1, t.encode()) + number(2 << 3 | 5) + struct.pack("<f", score) + field(3, k)) for t, score, k in pieces_
+    )
+    trainer = field(3, kind) + field(35, fallback)
+    normaliser = field(1, b"own") + (field(2, character_map) if character_map else b"") + field(3, prefix) + field(4, squeeze) + field(5, True)
+    path.write_bytes(body + field(2, trainer) + field(3, normaliser))
+    return str(path)
+
+
+def unigram_pieces(fallback=True):
+    letters = "▁abcdent.,é"
+    words = ["▁a", "▁ab", "ab", "abc", "bc", "cd", "▁de", "de", "ent", "nt", "den", "▁the", "te", "e.", "▁a.", "dedent"]
+    bytes_ = [(f"<0x{b:02X}>", -20.0, pieces.BYTE) for b in range(256)] if fallback else []
+    special = [("<unk>", 0.0, pieces.UNKNOWN), ("<s>", 0.0, pieces.CONTROL), ("</s>", 0.0, pieces.CONTROL)]
+    scored = [(t, -1.5 - 0.37 * k, pieces.NORMAL) for k, t in enumerate(words)] + [(t, -6.0 - 0.13 * k, pieces.NORMAL) for k, t in enumerate(letters)]
+    return special + bytes_ + scored
+
+
+@pytest.mark.parametrize(("fallback", "squeeze"), [(True, False), (True, True), (False, False)])
+def test_unigram_scores_are_rebuilt(tmp_path, fallback, squeeze):
+    """Best segmentations by unigram scores, with and without bytes for unknown characters, and with spaces squeezed."""
+    path = model_file(tmp_path / "u.model", unigram_pieces(fallback), pieces.UNIGRAM, fallback=fallback, squeeze=squeeze)
+    own = pieces.Pieces(path, 1)
+    r = random.Random(3)
+    texts = ["".join(r.choice(["a", "b", "c", "d", "e", "n", "t", ".", "é", " ", "z", "🙂"]) for _ in range(r.randrange(1, 40))) for _ in range(400)]
+    found = own.judged(texts)
+    assert [x[0].tolist() for x in found] == own._judge.encode(texts) and own.apart == 0 and own.checked > 0
+    if fallback and not squeeze:
+        assert all(x[2] for x in found)
+
+
+def test_differences_are_counted_for_every_text(monkeypatch):
+    """A stretch on which the libraries differ counts wherever it occurs, and the rebuilt tokenizer's ids are returned."""
+    own = pieces.Pieces(queries.piece_bpe(), 1)
+
+    class Judge:
+        def encode(self, texts, num_threads):
+            return [[9] if "odd" in t else ids for t, ids in zip(texts, own.whole(texts), strict=True)]
+
+    own._judge = Judge()
+    for _ in range(2):
+        found = own.judged(["odd one", None, "no", "an odd odd  thing", "odd odd", ""])
+        assert [x[1] for x in found] == [1, 0, 0, 1, 2, 0]
+        assert [x[0].tolist() for x in found] == own.whole(["odd one"]) + [[]] + own.whole(["no", "an odd odd  thing", "odd odd"]) + [[]]
+
+
 def test_pieces_query_restores_all_texts(spark, sf_dir):
     got = queries.QUERIES["op8_sentencepiece"](spark, sf_dir)
     assert got.where("NOT restored OR differences > 0").isEmpty()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cohortry.llm import queries
@@ -68,6 +69,31 @@ def test_pipeline_edges(spark, sf_dir, tmp_path):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, sf_dir).columns == docs.columns
         assert stage(spark, docs.limit(0), sf_dir).count() == 0
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert pieces.where("start = 0").count() == docs.count() and corpus_pipeline.packed(spark, docs.limit(0), sf_dir).count() == 0
     once = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, sf_dir)
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in once.collect())[-3:] == [(False, 51), (True, 0), (True, 0)]
     assert once.where("doc_id = 0").count() == 1
+
+
+def test_the_compared_row_of_a_repeated_id_stays(spark, sf_dir):
+    """Rows that share an id: the one whose text was compared, whatever their order; ties by text and row."""
+    texts = [" ".join(f"w{k}x{j}" for j in range(40)) for k in range(3)]
+    rows = [(1, t, c) for t in [*texts, "", None] for c in ("b", "a")] + [(2, texts[0] + " end", "z"), (3, "", "e"), (3, None, "f")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    found = [sorted(map(tuple, stage(spark, d.repartition(n), sf_dir).collect()), key=str) for d, n in ((docs, 1), (docs.orderBy("lang"), 4))]
+    assert found[0] == found[1]
+    near = queries.near_duplicates
+    names = {t: c for t, c in docs.select("text", near.text_class(F.col("text"))).distinct().collect() if c is not None}
+    first = min((names[t], t) for t in texts)[1]
+    assert [r[1] for r in found[0] if r[0] == 1] == [first] and len([r for r in found[0] if r[0] == 3]) == 1
+
+
+def test_long_texts_go_through_every_stage(spark, sf_dir):
+    base = queries.table(spark, sf_dir, "documents").where("lang = 'en' AND n_chars > 800").limit(3).collect()
+    rows = [(k, r.text, "en", "s", len(r.text)) for k, r in enumerate(base)] + [(9, " ".join(f"{r.text} {k}" for k in range(400) for r in base), "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, sf_dir).where("doc_id >= 0").count() >= 0
+    assert corpus_pipeline.packed(spark, docs, sf_dir).where("doc_id = 9").count() > 400
