@@ -243,6 +243,16 @@ def isolation_outliers(spark, sf_dir):
     return outliers.isolation_outliers(rows, ["vec_id"], DIMS).select("vec_id", "target")
 
 
+@query("isolation_cut", with_(SCORES) + """
+SELECT doc_id, target, probability FROM scores
+WHERE target = 1 OR probability <= (SELECT quantile_cont(probability, 0.85) FROM scores WHERE target = 0)""")
+def isolation_cut(spark, sf_dir):
+    """The cut step of the isolation filter, on given scores: the most isolated 15 % of class 0 go."""
+    scores = document_scores(spark, sf_dir)
+    kept = outliers.without_highest(scores.filter("target = 0"), "probability", 0.15)
+    return kept.unionByName(scores.filter("target = 1"))
+
+
 @query("correlation_matrix", with_(VECTORS) + """
 SELECT 'e' || a.dim AS i, 'e' || b.dim AS j, round(corr(a.x, b.x), 6) + 0.0 AS r
 FROM long a JOIN long b USING (vec_id) GROUP BY ALL""")
@@ -343,7 +353,25 @@ def nearest_neighbours(spark, sf_dir):
     return neighbours.nearest_neighbours(rows, "vec_id", DIMS)
 
 
-@query("smote")
+def _lot(key: str, seed: int) -> str:
+    return f"('0x' || substr(md5({key} || '|{seed}'), 1, 15))::BIGINT"
+
+
+@query("smote", f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e, (label = 0)::BIGINT AS target FROM embeddings),
+ones AS (SELECT *, row_number() OVER (ORDER BY md5(vec_id || '|1'), vec_id) AS rank FROM v WHERE target = 1),
+sizes AS (SELECT count(*) FILTER (target = 0) AS n0, count(*) FILTER (target = 1) AS n1 FROM v),
+near AS (
+  SELECT a.vec_id, b.vec_id AS neighbour, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.e, b.e), b.vec_id) AS nth
+  FROM ones a JOIN ones b ON a.vec_id <> b.vec_id),
+draws AS (
+  SELECT {_lot('id', 1)} % n1 + 1 AS rank, {_lot('id', 2)} % least(5, n1 - 1) + 1 AS nth, {_lot('id', 3)}::DOUBLE / 1152921504606846976.0 AS place
+  FROM (SELECT unnest(range(greatest(n0 - n1, 0))) AS id, n1 FROM sizes) WHERE n1 > 1),
+made AS (
+  SELECT list_transform(range(1, 65), lambda i: a.e[i] + place * (b.e[i] - a.e[i])) AS e
+  FROM draws JOIN ones a USING (rank) JOIN near ON near.vec_id = a.vec_id AND near.nth = draws.nth JOIN ones b ON b.vec_id = near.neighbour)
+SELECT vec_id, {', '.join(f'round(e[{i + 1}], 6) + 0.0 AS e{i}' for i in range(64))}, target FROM v
+UNION ALL SELECT NULL, {', '.join(f'round(e[{i + 1}], 6) + 0.0' for i in range(64))}, 1 FROM made""", ("vec_id",))
 def smote(spark, sf_dir):
     return neighbours.smote(vectors(spark, sf_dir).drop("label"), "vec_id", DIMS)
 
@@ -394,6 +422,18 @@ def grid_search(spark, sf_dir):
     return spark.createDataFrame(lines_, "model string, " + ", ".join(f"{k} double" for k in GRID) + ", auc double")
 
 
+@query("halving_search")
+def halving_search(spark, sf_dir):
+    """A grid of several values for the churn model, by successive halving, with its full number of trees."""
+    model = propensity.CHURN_MODEL
+    ready = _ready(spark, sf_dir, model, churn_rows)
+    parts = sampling.ratio_split(ready.train, ready.everything, [propensity.KEY], model.split)
+    grid = {"learning_rate": [model.trees.learning_rate, 0.1], "max_depth": [model.trees.max_depth, 3]}
+    tried = models.halving_search(parts.filter("part = 'train'"), [propensity.KEY], ready.features, model.trees, grid)
+    lines_ = [(k, share, *(float(getattr(trees, name)) for name in grid), auc) for k, share, trees, auc in tried]
+    return spark.createDataFrame(lines_, "round int, share double, " + ", ".join(f"{name} double" for name in grid) + ", auc double")
+
+
 @query("kfold_auc")
 def kfold_auc(spark, sf_dir):
     return _united(

@@ -24,33 +24,27 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.stack([np.sqrt(((a - row) ** 2).sum(axis=1)) for row in b], axis=1)
 
 
-def nearest_neighbours(
-    df: DataFrame, key: str, columns: list[str], k: int = 5, seed: int = 1, block: int = BLOCK
-) -> DataFrame:
-    """(key, nth, neighbour, distance) for the k nearest other rows; exact.
+def _kth(d: np.ndarray, k: int) -> np.ndarray:
+    """Each row's k-th smallest distance; infinite if there are fewer."""
+    return np.partition(d, k - 1, axis=1)[:, k - 1] if d.shape[1] >= k else np.full(len(d), np.inf)
+
 
-    Rows are assigned to the nearest of a few pivot rows. A row's distance to
-    the pivots bounds how far its k-th neighbour can be, and the triangle
-    inequality rules out every cell that lies farther away. Remaining (row,
-    cell) visits are worked off in blocks of bounded size on both sides: a
-    cell holding most rows is cut into many blocks, and only the k best of a
-    block leave it.
+def _pieces(sizes: dict, cell: int, block: int) -> int:
+    return max(1, math.ceil(sizes.get(cell, 0) / block))
+
+
+def cells_and_visits(rows: DataFrame, n: int, k: int, seed: int, block: int) -> tuple[DataFrame, DataFrame, dict, int]:
+    """(id, x, cell) of all rows, (id, x, cell) of the visits that k neighbours need, sizes of cells, and their number.
+
+    A row is first compared with a block of its own cell. Its k-th distance
+    there is its radius: no k-th neighbour lies farther away. Then it visits
+    the cells that the triangle inequality doesn't put beyond that radius.
     """
-    rows = materialized(
-        df.select(F.col(key).alias("id"), F.array(*[F.col(c).cast("double") for c in columns]).alias("x"))
-    )
-    n = rows.count()
-    if n <= 1:
-        return rows.select(
-            F.col("id").alias(key), F.lit(1).alias("nth"), F.col("id").alias("neighbour"),
-            F.lit(0.0).alias("distance"),
-        ).limit(0)
-    k = min(k, n - 1)
     n_pivots = min(n, max(k + 1, min(math.isqrt(n), MAX_PIVOTS)))
     chosen = rows.orderBy(hash_of("id", seed=seed), "id").limit(n_pivots).collect()
     pivots = np.array([r.x for r in chosen], dtype=float)
-    id_type = rows.schema["id"].dataType
-    point = [T.StructField("id", id_type), T.StructField("x", T.ArrayType(T.DoubleType()))]
+    point = [T.StructField("id", rows.schema["id"].dataType), T.StructField("x", T.ArrayType(T.DoubleType()))]
+    cell_type, reach_type = T.StructField("cell", T.IntegerType()), T.StructField("reach", T.DoubleType())
 
     def to_cells(batches):
         for pdf in batches:
@@ -58,7 +52,7 @@ def nearest_neighbours(
             yield pdf.assign(cell=d.argmin(axis=1).astype("int32"), away=d.min(axis=1))
 
     placed = materialized(rows.mapInPandas(
-        to_cells, T.StructType([*point, T.StructField("cell", T.IntegerType()), T.StructField("away", T.DoubleType())])
+        to_cells, T.StructType([*point, cell_type, T.StructField("away", T.DoubleType())])
     ))
     # One line per pivot: bounded whatever the number of rows.
     cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("radius")).toPandas()
@@ -66,29 +60,66 @@ def nearest_neighbours(
     radius[cells.cell] = cells.radius
     held = dict(zip(cells.cell, cells.n))
 
+    def at_home(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, reach = np.array(pdf.x.tolist(), dtype=float), np.empty(len(pdf))
+        for at in range(0, len(x), ASKED):
+            d = np.sqrt(((x[at:at + ASKED, None, :] - x[None]) ** 2).sum(axis=2))
+            # The row itself lies at 0, so its k-th other one is the next.
+            reach[at:at + ASKED] = _kth(d, k + 1)
+        return pdf.drop(columns="chunk").assign(reach=reach)
+
+    cuts = rows.sparkSession.createDataFrame([(c, _pieces(held, c, block)) for c in range(n_pivots)], "cell int, chunks int")
+    home = placed.drop("away").join(F.broadcast(cuts), "cell").select(
+        "id", "x", "cell", F.pmod(hash_number("id", seed=seed), F.col("chunks")).cast("int").alias("chunk")
+    )
+    near = home.groupBy("cell", "chunk").applyInPandas(at_home, T.StructType([*point, cell_type, reach_type]))
+
     def to_visits(batches):
         for pdf in batches:
             d = _distances(np.array(pdf.x.tolist(), dtype=float), pivots)
-            # k+1 pivots, one of them perhaps the row itself, lie within reach.
-            reach = np.partition(d, k, axis=1)[:, k] * (1 + 1e-9)
+            # k+1 pivots, one of them perhaps the row itself, bound it as well.
+            reach = np.minimum(_kth(d, k + 1), pdf.reach.to_numpy()) * (1 + 1e-9)
             row, cell = np.nonzero(d - radius <= reach[:, None])
             if len(row):
                 yield pd.DataFrame(
                     {"id": pdf.id.to_numpy()[row], "x": pdf.x.to_numpy()[row], "cell": cell.astype("int32")}
                 )
 
-    visits = rows.mapInPandas(to_visits, T.StructType([*point, T.StructField("cell", T.IntegerType())]))
-    visits = materialized(visits)
+    visits = materialized(near.select("id", "x", "reach").mapInPandas(to_visits, T.StructType([*point, cell_type])))
+    return placed.select("id", "x", "cell"), visits, held, n_pivots
+
+
+def nearest_neighbours(
+    df: DataFrame, key: str, columns: list[str], k: int = 5, seed: int = 1, block: int = BLOCK
+) -> DataFrame:
+    """(key, nth, neighbour, distance) for the k nearest other rows; exact.
+
+    Rows are assigned to the nearest of a few pivot rows, and each visits the
+    cells in which its neighbours can lie. Visits are worked off in blocks of
+    bounded size on both sides: a cell holding most rows is cut into many
+    blocks, and only the k best of a block leave it.
+    """
+    rows = materialized(
+        df.select(F.col(key).alias("id"), F.array(*[F.col(c).cast("double") for c in columns]).alias("x"))
+    )
+    n = rows.count()
+    if n <= 1:
+        return rows.select(
+            F.col("id").alias(key), F.lit(1).alias("nth"), F.col("id").alias("neighbour"),
+            F.lit(0.0).alias("distance"),
+        ).limit(0)
+    k = min(k, n - 1)
+    id_type = rows.schema["id"].dataType
+    placed, visits, held, n_pivots = cells_and_visits(rows, n, k, seed, block)
     visitors = {r.cell: r["count"] for r in visits.groupBy("cell").count().collect()}
-    parts = lambda sizes, c: max(1, math.ceil(sizes.get(c, 0) / block))
     # One line per pivot again.
     cuts = df.sparkSession.createDataFrame(
-        [(c, parts(held, c), parts(visitors, c)) for c in range(n_pivots)], "cell int, chunks int, groups int"
+        [(c, _pieces(held, c, block), _pieces(visitors, c, block)) for c in range(n_pivots)], "cell int, chunks int, groups int"
     )
     each = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     mine = lambda count: F.pmod(hash_number("id", seed=seed), F.col(count)).cast("int")
     asking = visits.join(cuts, "cell").withColumn("grp", mine("groups")).withColumn("chunk", each("chunks"))
-    holding = placed.select("id", "x", "cell").join(cuts, "cell").withColumn("chunk", mine("chunks")).withColumn("grp", each("groups"))
+    holding = placed.join(cuts, "cell").withColumn("chunk", mine("chunks")).withColumn("grp", each("groups"))
     asking, holding = asking.drop("chunks", "groups"), holding.drop("chunks", "groups")
 
     found = T.StructType([

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +58,24 @@ def test_isolation_drops_the_stated_share_of_class_0(rows):
     assert radius(kept) <= radius(rows.toPandas())
 
 
+def test_forest_walks_all_trees_as_one_by_one():
+    """Depths from the arrays equal a walk through each tree's nodes, for batches of any size."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 3))
+    rows = pd.concat([outliers._grow(x[rng.integers(0, 300, 64)], tree, 1) for tree in range(9)])
+    want = np.zeros(len(x))
+    for _, nodes in rows.groupby("tree"):
+        node = nodes.set_index("node")
+        for k, point in enumerate(x):
+            at = 0
+            while node.feature[at] >= 0:
+                at = node.left[at] if point[node.feature[at]] < node.cut[at] else node.right[at]
+            want[k] += node.depth[at] / 9
+    forest = outliers.Forest.of(rows)
+    assert forest.mean_depths(x) == pytest.approx(want) and forest.mean_depths(x, 7) == pytest.approx(want)
+    assert len(forest.mean_depths(x[:0])) == 0 and list(outliers.Forest.of(rows[:0]).mean_depths(x[:2])) == [0, 0]
+
+
 def test_isolation_ranks_a_far_point_first(spark, rows):
     far = rows.select("id", "x", "y").union(spark.createDataFrame([(9999, 40.0, -40.0)], "id bigint, x double, y double"))
     scored = outliers.isolation_scores(far, ["id"], ["x", "y"], trees=20)
@@ -103,6 +122,17 @@ def test_neighbours_are_exact_with_a_third_of_copies(spark):
     assert found == dict(brute(points, 4))
 
 
+def test_visits_are_few_where_rows_are_clustered(spark):
+    """Clusters apart from each other: a row visits few cells besides its own, out of many pivots."""
+    r = np.random.default_rng(6)
+    centres = r.normal(size=(30, 8)) * 20
+    points = np.repeat(centres, 60, 0) + r.normal(size=(1800, 8)) * 0.5
+    df = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(points)], "id bigint, x array<double>")
+    _, visits, _, pivots = neighbours.cells_and_visits(df, 1800, 5, 1, 2048)
+    per_row = visits.count() / 1800
+    assert pivots == 42 and per_row < 5 and visits.select("id").distinct().count() == 1800
+
+
 def test_smote_balances_on_lines_between_neighbours(rows):
     out = neighbours.smote(rows, "id", ["x", "y"], 3).toPandas()
     assert (out.target == 0).sum() == (out.target == 1).sum()
@@ -166,3 +196,17 @@ def test_model_queries_fit_the_models_own_trees(spark, sf_dir, monkeypatch, name
     got = QUERIES[name](spark, sf_dir)
     assert asked == ({100} if name == "full_coverage_scoring" else {100, 110})
     assert name == "full_coverage_scoring" or {r.model for r in got.collect()} == {"churn", "upsell"}
+
+
+def test_halving_finds_the_winner_of_the_full_grid(spark):
+    """Shares grow and hold the earlier ones, the last round sees all rows, and the winner is the full grid's."""
+    r = np.random.default_rng(11)
+    data = [(k, float(x), float(y), int((x > 0) != (y > 0.3))) for k, (x, y) in enumerate(r.normal(size=(900, 2)))]
+    crossed = spark.createDataFrame(data, "id bigint, x double, y double, target int")
+    grid = {"max_depth": [1, 5], "min_rows_per_leaf": [1, 120, 400]}
+    folded = crossed.withColumn("f", sampling.fold_of(["id"], 3, 2).cast("int"))
+    full = models.search_specs(folded, ["x", "y"], models.combinations(TREES, grid), fold_col="f")
+    tried = models.halving_search(crossed, ["id"], ["x", "y"], TREES, grid, least_positives=100)
+    assert len(full) == 6 and [t[0] for t in tried] == [0] * 6 + [1] * 2
+    assert tried[0][1] < tried[-1][1] == 1.0
+    assert tried[-1][2] == max(full, key=lambda x: x[1])[0] == models.replace(TREES, max_depth=5, min_rows_per_leaf=1)
