@@ -29,15 +29,19 @@ import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from cohortry.functions.scale import materialized
 from cohortry.llm import wordhash
 from cohortry.llm.components import compact, components
 
 ROWS = 512  # texts hashed together
+SALTS = 16  # ways in which the members of a class are dealt out
 
 
 @dataclass(frozen=True)
@@ -72,7 +76,7 @@ def _sketches(k: int):
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 sets = wordhash.shingle_sets(part.column(1))
-                names = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+                names = [_name(s) for s in sets]
                 yield pa.record_batch(
                     [part.column(0), pa.array([len(s) for s in sets]), pa.array(names, pa.binary()),
                      pa.array([s[:k] for s in sets], pa.list_(pa.int64()))], schema=kinds,
@@ -81,6 +85,17 @@ def _sketches(k: int):
     return run
 
 
+@F.pandas_udf(BinaryType())
+def text_class(texts: pd.Series) -> pd.Series:
+    """The name of each text's set, null without words: texts with equal sets have equal names."""
+    sets = wordhash.shingle_sets(pa.array(texts, pa.string(), from_pandas=True))
+    return pd.Series([_name(s) for s in sets])
+
+
+def _name(shingles: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
+
+
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS):
@@ -239,18 +254,20 @@ def near_duplicates(docs: DataFrame, spec: NearSpec = PRODUCTION, id_col: str =
     ))
     named = rows.where("id IS NOT NULL AND class IS NOT NULL")
     members = materialized(named.groupBy("id").agg(F.min("class").alias("class")))
-    heads = members.groupBy("class").agg(F.min("id").alias("head"))
+    heads = members.groupBy("class").agg(F.min("id").alias("head"), F.count("*").alias("members"))
     # Sketches and texts travel only for the first document of a class.
     chosen = heads.select(F.col("head").alias("id"), "class")
     reps = materialized(
         named.join(chosen, ["id", "class"], "left_semi").dropDuplicates(["id"]).select("id", "n", "sketch")
     )
-    copies = members.join(heads, "class").where("id <> head").select("id", "head")
     linked = _linked(docs, reps, spec)
-    place = copies.join(linked.select(F.col("id").alias("head"), "component"), "head", "left")
-    place = place.select("id", F.coalesce("component", "head").alias("component")).union(
-        linked.select("id", "component")
+    # A class can hold a large part of all documents: its members are dealt out, and its component goes to each part.
+    shared = heads.where("members > 1").join(linked.select(F.col("id").alias("head"), "component"), "head", "left").select(
+        "class", "head", F.coalesce("component", "head").alias("component"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     )
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    copies = salted.join(shared, ["class", "salt"]).where("id <> head")
+    place = copies.select("id", "component").union(linked.select("id", "component"))
     return rows.select("id", "n").join(place, "id", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"),
