@@ -56,6 +56,26 @@ SENTENCES = {
             ("attribution noncommercial", "ccbync4-under"), ("attribution", "ccby4-under"), ("attribution sharealike", "ccbysa4-under"),
         )
     },
+    **{
+        f"this {work} is free software you can redistribute it and or modify it under the terms of the gnu {licence} as published by the free software foundation either version {version} of the license or at your option any later version": found
+        for work in ("program", "library")
+        for licence, version, found in (
+            ("general public license", "2", "gpl2-notice"), ("lesser general public license", "2 1", "lgpl21-notice"),
+            ("lesser general public license", "3", "lgpl3-notice"), ("affero general public license", "3", "agpl3-notice"),
+        )
+    },
+    "this source code form is subject to the terms of the mozilla public license v": "mpl2-subject",
+    **{f"if a copy of the mpl was not distributed with this file you can obtain one at {scheme} mozilla org mpl 2 0": "mpl2-copy" for scheme in ("http", "https")},
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "this software is provided as is without any express or implied warranty": "zlib-warranty",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib-grant",
+    "distributed under the boost software license version 1 0": "bsl1-under",
+    "this is free and unencumbered software released into the public domain": "unlicense-free",
+    "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide": "cc0-dedicated",
+    **{
+        f"this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at {scheme} www eclipse org legal epl 2 0": "epl2-notice"
+        for scheme in ("http", "https")
+    },
 }
 
 #: Rules in order: licence, sequence of identifiers that follow one another.
@@ -66,6 +86,19 @@ RULES = (
     ("Apache-2.0", ("apache2-grant", "apache2-obtain", "apache2-url")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl3-later")),
     ("GPL-3.0-or-later", ("gpl3-notice",)),
+    ("GPL-2.0-or-later", ("gpl2-notice",)),
+    ("LGPL-2.1-or-later", ("lgpl21-notice",)),
+    ("LGPL-3.0-or-later", ("lgpl3-notice",)),
+    ("AGPL-3.0-or-later", ("agpl3-notice",)),
+    ("MPL-2.0", ("mpl2-subject", "mpl2-copy")),
+    ("MPL-2.0", ("mpl2-subject",)),
+    ("EPL-2.0", ("epl2-notice",)),
+    ("ISC", ("isc-grant",)),
+    ("Zlib", ("zlib-warranty", "zlib-grant")),
+    ("Zlib", ("zlib-grant",)),
+    ("BSL-1.0", ("bsl1-under",)),
+    ("Unlicense", ("unlicense-free",)),
+    ("CC0-1.0", ("cc0-dedicated",)),
     ("MIT", ("mit-notice", "mit-warranty")),
     ("BSD-3-Clause", ("reserved", "bsd-source", "bsd-binary", "bsd-names")),
     ("BSD-3-Clause", ("bsd-source", "bsd-binary", "bsd-names")),

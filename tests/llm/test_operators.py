@@ -112,6 +112,32 @@ NOTICES = (
     ("BSD-2-Clause", BSD), ("BSD-3-Clause", BSD + CLAUSE_3.format("the copyright holder")), ("BSD-3-Clause", BSD + CLAUSE_3.format("Foo Institute of\n   Technology")),
     ("CC-BY-4.0", CC.format("")), ("CC-BY-NC-4.0", CC.format("-NonCommercial")), ("CC-BY-SA-4.0", CC.format("-ShareAlike")),
     ("GPL-3.0-only", "This work is licensed under the GNU General\nPublic License, version 3."), ("Proprietary", "Copyright 2020 Foo.\nAll rights\nreserved."),
+    *[
+        (found, (
+            f"This {work} is free software{mark} you can redistribute it and/or\nmodify it under the terms of the GNU {licence}\n"
+            f"License as published by the Free Software Foundation{comma} either\nversion {version} of the License, or (at your option) any later version.\n\nThis {work} is distributed in the hope"
+        ))
+        for found, work, licence, version, mark, comma in (
+            ("GPL-2.0-or-later", "program", "General Public", "2", ";", ";"), ("LGPL-2.1-or-later", "library", "Lesser General Public", "2.1", ";", ";"),
+            ("LGPL-3.0-or-later", "program", "Lesser General Public", "3", ":", ","), ("AGPL-3.0-or-later", "program", "Affero General Public", "3", ":", ","),
+        )
+    ],
+    ("MPL-2.0", (
+        "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/."
+    )),
+    ("ISC", (
+        "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED"
+    )),
+    ("Zlib", (
+        "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable for any damages\narising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose,\n"
+        "including commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:\n\n1. The origin"
+    )),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright\nand related and neighboring rights to this software to the public domain\nworldwide."),
+    ("EPL-2.0", (
+        "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/\n\nContributors: us"
+    )),
     ("MIT", "# Tool.\nReleased under\nthe MIT License."), ("Apache-2.0", "Licensed under the Apache\nLicense, Version 2.0"),
 )
 
