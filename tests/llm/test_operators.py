@@ -350,6 +350,23 @@ def test_byte_level_ids_are_the_librarys(parts):
     assert [x.tolist() for x in encoder.batch(texts)] == encoder.whole([t or "" for t in texts])
 
 
+def test_files_with_another_pattern_go_to_the_library_whole():
+    import public_tokenizers
+
+    encoder = tokens.byte_level(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["Hello  World, it's 12", None, "", "a\nb\tc é 🙂 " * 50]
+    assert [x.tolist() for x in encoder.batch(texts)] == encoder.whole([t or "" for t in texts])
+
+
+def test_long_texts_are_cut_where_no_token_reaches_across(monkeypatch):
+    encoder = tokens.byte_level(queries.byte_bpe())
+    r = random.Random(8)
+    text = "".join(r.choice(["word", " it's", "  ", "\n ", " 12", ". ", "é", " x", "\xa0 ", "日本"]) for _ in range(4000))
+    want = encoder.whole([text, text[:999], ""])
+    monkeypatch.setattr(tokens, "GROUP", 100)
+    assert [x.tolist() for x in encoder.batch([text, text[:999], ""])] == want
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(AWKWARD, max_size=6))
 def test_pieces_are_sentencepieces(parts):
