@@ -36,8 +36,8 @@ class ScoreSpec:
     vocabulary: str
     rounds: int = 2
     prior: float = 32000.0
-    chunk: int = 4_000_000
-    words: int = 600_000
+    chunk: int = 3_000_000
+    words: int = 400_000
     folds: int = 7
     held_fold: int = 2
 
