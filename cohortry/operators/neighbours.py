@@ -17,6 +17,7 @@ from cohortry.operators.sampling import class_sizes
 BLOCK = 2048
 ASKED = 32  # rows whose distances to a block are held at once
 MAX_PIVOTS = 1024
+ROWS, VISITS = 1024, 16_384  # rows compared with the pivots, and visits handed on, at once
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -29,6 +30,16 @@ def _kth(d: np.ndarray, k: int) -> np.ndarray:
     return np.partition(d, k - 1, axis=1)[:, k - 1] if d.shape[1] >= k else np.full(len(d), np.inf)
 
 
+def visits_of(ids: np.ndarray, x: np.ndarray, d: np.ndarray, radius: np.ndarray, reach: np.ndarray, most: int = VISITS):
+    """Frames of visits (id, x, cell), each of at most `most` visits or of one row: where a row
+    visits nearly all cells, a batch's visits with their vectors would fill a worker's memory."""
+    step = max(1, most // d.shape[1])
+    for at in range(0, len(d), step):
+        row, cell = np.nonzero(d[at:at + step] - radius <= reach[at:at + step, None])
+        if len(row):
+            yield pd.DataFrame({"id": ids[at + row], "x": x[at + row], "cell": cell.astype("int32")})
+
+
 def _pieces(sizes: dict, cell: int, block: int) -> int:
     return max(1, math.ceil(sizes.get(cell, 0) / block))
 
@@ -46,8 +57,13 @@ def cells_and_visits(rows: DataFrame, n: int, k: int, seed: int, block: int) ->
     point = [T.StructField("id", rows.schema["id"].dataType), T.StructField("x", T.ArrayType(T.DoubleType()))]
     cell_type, reach_type = T.StructField("cell", T.IntegerType()), T.StructField("reach", T.DoubleType())
 
-    def to_cells(batches):
+    def pieces(batches):
         for pdf in batches:
+            for at in range(0, len(pdf), ROWS):
+                yield pdf.iloc[at:at + ROWS]
+
+    def to_cells(batches):
+        for pdf in pieces(batches):
             d = _distances(np.array(pdf.x.tolist(), dtype=float), pivots)
             yield pdf.assign(cell=d.argmin(axis=1).astype("int32"), away=d.min(axis=1))
 
@@ -75,15 +91,11 @@ def cells_and_visits(rows: DataFrame, n: int, k: int, seed: int, block: int) ->
     near = home.groupBy("cell", "chunk").applyInPandas(at_home, T.StructType([*point, cell_type, reach_type]))
 
     def to_visits(batches):
-        for pdf in batches:
+        for pdf in pieces(batches):
             d = _distances(np.array(pdf.x.tolist(), dtype=float), pivots)
             # k+1 pivots, one of them perhaps the row itself, bound it as well.
             reach = np.minimum(_kth(d, k + 1), pdf.reach.to_numpy()) * (1 + 1e-9)
-            row, cell = np.nonzero(d - radius <= reach[:, None])
-            if len(row):
-                yield pd.DataFrame(
-                    {"id": pdf.id.to_numpy()[row], "x": pdf.x.to_numpy()[row], "cell": cell.astype("int32")}
-                )
+            yield from visits_of(pdf.id.to_numpy(), pdf.x.to_numpy(), d, radius, reach)
 
     visits = materialized(near.select("id", "x", "reach").mapInPandas(to_visits, T.StructType([*point, cell_type])))
     return placed.select("id", "x", "cell"), visits, held, n_pivots
