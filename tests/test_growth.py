@@ -11,7 +11,7 @@ from cohortry.catalog import bindings as B
 from cohortry.catalog import panels as P
 from cohortry.catalog import tables as C
 from cohortry.functions import scalars as S
-from cohortry.operators import neighbours, party, running
+from cohortry.operators import models, neighbours, outliers, party, running, stats
 
 
 def plan(df) -> str:
@@ -62,3 +62,30 @@ def test_rounding_and_labels_are_the_slow_ones(spark):
         inside = months.filter(F.col("m").between(12, 119_000 if grain == "month" else 39_000))
         assert inside.filter(S.period_label("m", grain) != slow(grain)).count() == 0
     assert "WHEN" in plan(months.select(S.period_label("m")))
+
+
+def test_tree_samples_are_picked_by_keys_alone(spark):
+    df = spark.range(0, 3000).selectExpr("id % 2900 AS k", "CAST(id AS DOUBLE) AS x")
+    share = (2 * outliers.SAMPLE + 64) / 3000
+    h = lambda t: F.pmod(F.xxhash64("k", t, F.lit(1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    want = df.withColumn("tree", F.explode(F.filter(F.sequence(F.lit(0), F.lit(4)), lambda t: h(t) < F.lit(share))))
+    got = outliers.tree_samples(df, ["k"], 5, 1)
+    assert "lambdafunction" not in plan(got) and "Join" in plan(got)
+    sizes = dict(got.groupBy("tree").count().collect())
+    assert sizes == {t: min(n, outliers.SAMPLE) for t, n in want.groupBy("tree").count().collect()}
+    assert got.join(want, ["k", "x", "tree"], "left_anti").count() == 0 and got.distinct().count() == got.count()
+
+
+def test_moments_come_from_aggregates_of_few_columns(spark, monkeypatch):
+    columns = [f"c{k}" for k in range(20)]
+    df = spark.range(50).select(*[(F.col("id") * k % 7).cast("double").alias(c) for k, c in enumerate(columns)])
+    sizes, agg = [], type(df).agg
+    monkeypatch.setattr(type(df), "agg", lambda self, *cols: sizes.append(agg(self, *cols)) or sizes[-1])
+    found, x = stats.fit_moments(df, columns), df.toPandas()
+    assert found == {c: (pytest.approx(x[c].mean()), pytest.approx(x[c].std(ddof=0))) for c in columns}
+    assert all(plan(part).count("avg(") <= stats.TOGETHER for part in sizes) and stats.fit_moments(df, []) == {}
+
+
+def test_a_round_of_halving_is_fitted_at_once(spark, monkeypatch):
+    """Four parameter sets on three folds."""
+    assert models.FITS >= 12
