@@ -11,7 +11,8 @@ from cohortry.catalog import bindings as B
 from cohortry.catalog import panels as P
 from cohortry.catalog import tables as C
 from cohortry.functions import scalars as S
-from cohortry.operators import models, neighbours, outliers, party, running, stats
+from cohortry.operators import lifecycle, models, neighbours, outliers, panel, party, running, stats
+from cohortry.plans import features
 
 
 def plan(df) -> str:
@@ -89,3 +90,16 @@ def test_moments_come_from_aggregates_of_few_columns(spark, monkeypatch):
 def test_a_round_of_halving_is_fitted_at_once(spark, monkeypatch):
     """Four parameter sets on three folds."""
     assert models.FITS >= 12
+
+
+@pytest.mark.parametrize("spec", [specs.RFM_SNAPSHOTS, P.QUARTERS, specs.SnapshotSpec(senders_only=True, hot_rows=20)])
+def test_newest_rows_without_a_panel_are_those_of_the_panel(spark, sf_dir, monkeypatch, spec):
+    p = C.prepared(spark, sf_dir)
+    companies, churn = lifecycle.company_master(p.events, p.registry), lifecycle.churn_premium(p.events)
+    whole = panel.feature_panel(p.tx, p.events, p.ids, companies, churn, spec).drop("snapshot")
+    want = running.last_row_per_company(running.panel_accumulate(whole, spec))
+    monkeypatch.setattr(panel, "feature_panel", None)
+    last = features.build_latest_tables(p, spec).behaviour
+    frame = lambda df: B.presented(df.select(*sorted(last.columns))).toPandas().sort_values("company").reset_index(drop=True)
+    got = frame(last)
+    assert len(got) > 0 and got.equals(frame(want))
