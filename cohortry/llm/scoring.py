@@ -151,10 +151,6 @@ def _add_up(tokens: int, types: int, ends: int, log_end: float):
     """Scores of the documents of one chunk, from what each of its words scores."""
     floor = tokens + types + 1
 
-    def sums(values: np.ndarray, stops: np.ndarray) -> np.ndarray:
-        upto = np.concatenate([[0], np.cumsum(values)])
-        return upto[stops] - upto[np.concatenate([[0], stops[:-1]])]
-
     def run(chunk: pa.Table, words: pa.Table) -> pa.Table:
         row = {name: chunk.column(name)[0] for name in ("doc_ids", "held", "sizes", "codes")}
         codes = np.frombuffer(row["codes"].as_py(), np.uint32)
@@ -164,10 +160,12 @@ def _add_up(tokens: int, types: int, ends: int, log_end: float):
         c[place], log_p[place] = words.column("c").to_numpy(), words.column("log_p").to_numpy()
         log_base = np.array([math.log10((x + 1) / floor) for x in c.tolist()])
         stops = np.cumsum(sizes)
-        base, score = np.zeros(len(sizes)), np.zeros(len(sizes))
+        base, score, known = np.zeros(len(sizes)), np.zeros(len(sizes)), np.zeros(len(sizes), np.int64)
+        # By document, so that no more arrays of a whole chunk's words are made.
         for k, (a, b) in enumerate(zip(stops - sizes, stops, strict=True)):
-            base[k], score[k] = log_base[codes[a:b]].sum(), log_p[codes[a:b]].sum()
-        known = sums((c[codes] > 0).astype(np.int64), stops) + (ends > 0)
+            own = codes[a:b]
+            base[k], score[k], known[k] = log_base[own].sum(), log_p[own].sum(), np.count_nonzero(c[own])
+        known += ends > 0
         return pa.table([
             row["doc_ids"].values, row["held"].values, pa.array(sizes + 1), pa.array(known), pa.array(np.full(len(sizes), tokens, np.int64)),
             pa.array(base + math.log10((ends + 1) / floor)), pa.array((score + log_end) / math.log(10)),
@@ -206,6 +204,8 @@ def scored(docs: DataFrame, spec: ScoreSpec, id_col: str = "doc_id", text_col: s
     weights = fit(known, ends, spec)
     logs = counted.select("chunk", "pos", "word", "c").mapInArrow(_score(spec, weights), "chunk bigint, pos int, c bigint, log_p double")
     adding = _add_up(tokens, types, ends, float(weights[lattice(spec.vocabulary).end]))
-    return chunks.groupBy("chunk").cogroup(logs.groupBy("chunk")).applyInArrow(
+    # What is grouped goes to Python whole: the words, the larger part of a chunk, stay away.
+    texts = chunks.select("chunk", "doc_ids", "held", "sizes", "codes")
+    return texts.groupBy("chunk").cogroup(logs.groupBy("chunk")).applyInArrow(
         adding, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     )
